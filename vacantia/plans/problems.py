@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vacantia.operators import nested_tables as nt
 from vacantia.operators.snapshot_diff import posting_changes
 from vacantia.runtime import table
 
@@ -13,7 +14,26 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return posting_changes(table(spark, d, "posting_snapshots"))
 
 
-QUERIES = {"p4_found": p4_found}
+def _trees(spark: SparkSession, d: str) -> DataFrame:
+    return nt.board_trees(table(spark, d, "board_notion"), table(spark, d, "board_intercom"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Tiers, components, offices and departments of all boards, linked to envelope, job and parent."""
+    return nt.flat_children(_trees(spark, d))
+
+
+def p2_objects(spark: SparkSession, d: str) -> DataFrame:
+    """Every distinct object of the boards, once."""
+    return nt.objects(_trees(spark, d))
+
+
+def p2_bridge(spark: SparkSession, d: str) -> DataFrame:
+    """Links from distinct objects to their children."""
+    return nt.bridge(_trees(spark, d))
+
+
+QUERIES = {"p2_found": p2_found, "p2_objects": p2_objects, "p2_bridge": p2_bridge, "p4_found": p4_found}
 
 #: White space as in ``vacantia.runtime.BLANKS``, in DuckDB's notation.
 _WS = r"[\t\n\v\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
