@@ -53,3 +53,11 @@ def strip_blanks(c: Column) -> Column:
 def squash_blanks(c: Column) -> Column:
     """``c`` without outer white space and with every inner run of it made one blank."""
     return F.trim(F.regexp_replace(c, f"{BLANKS}+", " "))
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with the column ``name``, computed once per row however often later steps use it.
+
+    The optimiser merges projections and copies expressions into filters; a generator is what it leaves alone,
+    and one over an array of a single element costs nothing and keeps every row."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
