@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vacantia.operators import instants
 from vacantia.operators import nested_tables as nt
+from vacantia.operators import units
 from vacantia.operators.snapshot_diff import posting_changes
 from vacantia.runtime import table
 
@@ -41,7 +42,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return instants.record_instants(spark, d)
 
 
-QUERIES = {"p5_found": p5_found, "p2_found": p2_found, "p2_objects": p2_objects, "p2_bridge": p2_bridge, "p4_found": p4_found}
+def p6_units(spark: SparkSession, d: str) -> DataFrame:
+    """Every recorded bound with its unit, stated or inferred with its posterior, in euros per year."""
+    return units.salary_units(table(spark, d, "postings"), table(spark, d, "fx_rates"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """posting_id, bound, eur_per_year of the bounds whose period is stated and that aren't plain euros a year."""
+    plain = "currency = 'EUR' AND period = 'annual' AND scale = 1.0"
+    return p6_units(spark, d).filter(f"stated AND eur_per_year IS NOT NULL AND NOT ({plain})").select("posting_id", "bound", "eur_per_year")
+
+
+QUERIES = {"p6_found": p6_found, "p6_units": p6_units, "p5_found": p5_found, "p2_found": p2_found, "p2_objects": p2_objects, "p2_bridge": p2_bridge, "p4_found": p4_found}
 
 #: White space as in ``vacantia.runtime.BLANKS``, in DuckDB's notation.
 _WS = r"[\t\n\v\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
