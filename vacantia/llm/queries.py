@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import encoding
+from vacantia.llm import encoding, packing
 from vacantia.runtime import table
 
 
@@ -22,6 +22,16 @@ def p8_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return docs.join(back, "doc_id").groupBy("source").agg(F.count("*").alias("n_docs"), F.sum(same).alias("n_same"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+def p9_containers(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, piece_no, start, n_tokens, container_id: all documents in containers of 2,048 tokens."""
+    return packing.pack(encoding.token_counts(table(spark, d, "documents")), "doc_id", "n_tokens")
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    """How full the containers of p9_containers are."""
+    return packing.fill(p9_containers(spark, d))
+
+
+QUERIES = {"p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
 
 SQL = {"p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
