@@ -41,6 +41,20 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager)
 
 
+def cut_partitioned(df: DataFrame, key: str) -> DataFrame:
+    """``df`` cut from its lineage, partitioned by and sorted within partitions by ``key``.
+
+    Unlike after ``cut_lineage``, later joins and aggregates by ``key`` know of the partitioning and shuffle
+    nothing; for that, the one job that writes it runs without adaptive execution, which hides it."""
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.adaptive.enabled", "true")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut_lineage(df.repartition(key).sortWithinPartitions(key))
+    finally:
+        conf.set("spark.sql.adaptive.enabled", before)
+
+
 #: Fixed value: the characters of Unicode's White_Space, spelled out so that every engine reads them alike.
 BLANKS = r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
