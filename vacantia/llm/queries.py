@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import encoding, packing
+from vacantia.llm import encoding, packing, reading
 from vacantia.runtime import table
 
 
@@ -32,6 +32,21 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill(p9_containers(spark, d))
 
 
-QUERIES = {"p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, lang, score, level of every document of at least 50 words in English, German or French."""
+    return reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, level."""
+    return p10_scores(spark, d).select("doc_id", "level")
+
+
+def p10_profile(spark: SparkSession, d: str) -> DataFrame:
+    """How many documents of each level every source has."""
+    return p10_scores(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source", "level").count()
+
+
+QUERIES = {"p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
 
 SQL = {"p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
