@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import encoding, packing, reading
+from vacantia.llm import encoding, packing, quantiles, reading
 from vacantia.runtime import table
 
 
@@ -47,6 +47,11 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return p10_scores(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source", "level").count()
 
 
-QUERIES = {"p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """snapshot_date ('all' for all together), isco_code, country, n, p10 to p99, rank_bound."""
+    return quantiles.salary_percentiles(table(spark, d, "posting_snapshots"))
+
+
+QUERIES = {"p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
 
 SQL = {"p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
