@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import encoding, packing, quantiles, reading
+from vacantia.llm import encoding, labelmatch, packing, quantiles, reading
 from vacantia.runtime import table
 
 
@@ -52,6 +52,16 @@ def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.salary_percentiles(table(spark, d, "posting_snapshots"))
 
 
-QUERIES = {"p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+def p7_matches(spark: SparkSession, d: str) -> DataFrame:
+    """posting_id, isco_code ('none' if unmatched), label, isco_match_score of every posting without isco_code."""
+    return labelmatch.match_titles(spark, table(spark, d, "postings"), table(spark, d, "isco_labels"))
 
-SQL = {"p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """posting_id, isco_code."""
+    return p7_matches(spark, d).select("posting_id", "isco_code").distinct()
+
+
+QUERIES = {"p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+
+SQL = {"p7_found": labelmatch.BRUTE, "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
