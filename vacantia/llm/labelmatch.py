@@ -5,7 +5,8 @@ string within k edits contains one of them unchanged, near its place. Labels and
 such substrings (with the label's length and the segment's number), candidates are verified with the built-in
 levenshtein, and titles left over are reported through an anti-join. A typed title is split at its separators
 into phrases, and a phrase must match a label as a whole: seniority, subject and team are phrases of their own,
-so that a glacier guide is no glazier. Phrases around a comma also count together, in either order.
+so that a glacier guide is no glazier. Of phrases parted by commas the first counts, and neighbours count
+together, in the orders in which names are inverted ("Guide, Glacier"), so that neither is one alone.
 
 Distinct titles are matched, not postings. A title may be that of very many postings, so results return to
 postings through a salt: each title carries the shares of postings (of ``SALTS``) in which it occurs.
@@ -69,13 +70,16 @@ typed AS (
 ), phrases AS (
   SELECT title, filter(transform(split(chunk, ','), p -> array_join({words_sql("p")}, '')), p -> p <> '') AS p FROM chunks
 ), keys AS (
-  SELECT DISTINCT title, explode(concat(p, zip_with(slice(p, 1, greatest(size(p) - 1, 0)), slice(p, 2, greatest(size(p) - 1, 0)), (a, b) -> concat(b, a)), zip_with(slice(p, 1, greatest(size(p) - 1, 0)), slice(p, 2, greatest(size(p) - 1, 0)), (a, b) -> concat(a, b)))) AS key
-  FROM phrases
+  SELECT DISTINCT title, explode(concat(slice(p, 1, 1), flatten(transform(sequence(1, size(p)), i -> filter(array(
+    concat(get(p, i), get(p, i - 1)), concat(get(p, i - 1), get(p, i)),
+    concat(get(p, i + 1), get(p, i - 1), get(p, i)), concat(get(p, i - 1), get(p, i), get(p, i + 1))), k -> k IS NOT NULL))))) AS key
+  FROM phrases WHERE size(p) > 0
 ), probes AS (
   SELECT key, n, k, i, substring(key, CAST(n * i DIV (k + 1) AS INT) + 1 + d, CAST(n * (i + 1) DIV (k + 1) - n * i DIV (k + 1) AS INT)) AS piece
   FROM (
     SELECT key, n, k, i, explode(sequence(greatest(-i, length(key) - n - (k - i)), least(i, length(key) - n + (k - i)))) AS d
-    FROM (SELECT key, n, k, explode(sequence(0, k)) AS i FROM (SELECT DISTINCT key FROM keys) JOIN lengths ON length(key) BETWEEN n - k AND n + k)
+    FROM (SELECT key, n, k, explode(sequence(0, k)) AS i FROM (
+      SELECT key, n, k FROM (SELECT key, explode(sequence(greatest(length(key) - 4, 1), length(key) + 4)) AS n FROM (SELECT DISTINCT key FROM keys)) JOIN lengths USING (n) WHERE abs(length(key) - n) <= k))
     WHERE greatest(-i, length(key) - n - (k - i)) <= least(i, length(key) - n + (k - i))
   ) WHERE CAST(n * i DIV (k + 1) AS INT) + 1 + d >= 1
 ), met AS (
@@ -131,7 +135,8 @@ chunks AS (SELECT title, unnest(string_split_regex(translate(lower(regexp_replac
 phrases AS (
   SELECT title, list_filter(list_transform(string_split(chunk, ','), lambda p: array_to_string(list_filter(list_transform(regexp_extract_all(p, '\p{L}+'), lambda w: coalesce(MAP {FULL}[w], w)), lambda w: w NOT IN (DROPPED)), '')), lambda p: p <> '') AS p FROM chunks
 ), keys AS (
-  SELECT DISTINCT title, unnest(list_concat(p, list_transform(range(1, len(p)), lambda i: p[i + 1] || p[i]), list_transform(range(1, len(p)), lambda i: p[i] || p[i + 1]))) AS key FROM phrases
+  SELECT DISTINCT title, unnest(list_concat(p[1:1], list_transform(range(1, len(p)), lambda i: p[i + 1] || p[i]), list_transform(range(1, len(p)), lambda i: p[i] || p[i + 1]),
+    list_transform(range(1, len(p) - 1), lambda i: p[i + 2] || p[i] || p[i + 1]), list_transform(range(1, len(p) - 1), lambda i: p[i] || p[i + 1] || p[i + 2]))) AS key FROM phrases
 ), distances AS (
   SELECT k.key, l.*, levenshtein(k.key, l.key) AS d FROM (SELECT DISTINCT key FROM keys) k, allowed l WHERE abs(length(k.key) - l.n) <= 4
 ), good AS (
