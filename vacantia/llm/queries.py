@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacantia.llm import encoding, labelmatch, packing, quantiles, reading
+from vacantia.llm import encoding, labelmatch, neardup, packing, quantiles, reading
 from vacantia.runtime import table
 
 
@@ -62,6 +62,16 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_matches(spark, d).select("posting_id", "isco_code").distinct()
 
 
-QUERIES = {"p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """posting_id_a, posting_id_b of all pairs of postings that advertise the same opening."""
+    return neardup.same_openings(table(spark, d, "postings"))
+
+
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """posting_id, class_id, n_links of every posting with a company."""
+    return neardup.opening_classes(table(spark, d, "postings"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
 
 SQL = {"p7_found": labelmatch.BRUTE, "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
