@@ -259,8 +259,13 @@ def salary_partials(snapshots: DataFrame) -> DataFrame:
 
 
 def salary_percentiles(snapshots: DataFrame) -> DataFrame:
-    """The percentiles per occupation and country for each snapshot_date, and for all dates together ('all')."""
+    """snapshot_date, isco_code, country, percent, value, n, rank_bound: one row per percentile.
+
+    Percentiles are per occupation and country, for each snapshot_date and for all dates together ('all'), which
+    are merged from the dates' kept states."""
     kept = salary_partials(snapshots)
     every = merge(kept, ["isco_code", "country"]).withColumn("snapshot_date", F.lit("all"))
     keys = ["snapshot_date", "isco_code", "country"]
-    return percentiles(kept.select(*keys, "codes", "counts", "sketch").unionByName(every), keys)
+    wide = percentiles(kept.select(*keys, "codes", "counts", "sketch").unionByName(every), keys)
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("percent"), F.col(f"p{p}").alias("value")) for p in PERCENTS]))
+    return wide.select(*keys, each.alias("e"), "n", "rank_bound").select(*keys, "e.percent", "e.value", "n", "rank_bound")

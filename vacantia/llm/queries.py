@@ -48,7 +48,7 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """snapshot_date ('all' for all together), isco_code, country, n, p10 to p99, rank_bound."""
+    """snapshot_date ('all' for all together), isco_code, country, percent, value, n, rank_bound."""
     return quantiles.salary_percentiles(table(spark, d, "posting_snapshots"))
 
 
