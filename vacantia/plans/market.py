@@ -11,7 +11,7 @@ from vacantia.operators import cube, dashboard, normalise, similarity
 from vacantia.runtime import once, table
 from vacantia.sources import boards
 
-NOW = "2026-06-01 00:00:00"
+NOW = "2025-10-01 00:00:00"
 ALLOWED = ["ie", "gb", "de", "fr", "nl", "se", "remote-europe"]
 KEYWORDS = ["analyst", "engineer", "nurse"]
 SKILLS = ["calm", "planning tools", "partners", "rota", "operations unit"]

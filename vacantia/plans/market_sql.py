@@ -5,6 +5,7 @@ from __future__ import annotations
 from vacantia.functions import lookup, text
 from vacantia.operators import dashboard
 from vacantia.plans import market
+from vacantia.plans.problems import JOBS_SQL, items_sql, unwrapped_sql
 from vacantia.schemas import METHODS, PERIODS
 
 
@@ -88,6 +89,7 @@ _RULES = {
 
 _OFFICE = _some("j.location.name", "j.offices[1].location", "j.offices[1].name")
 _NOTION_PLACE = _some("j->>'$.location'", "j->>'$.locationName'")
+_FACTOR = "CASE lower(trim(p->>'$.interval')) " + " ".join(f"WHEN '{k}' THEN {lookup.PER_YEAR[v]}" for k, v in lookup.INTERVALS.items()) + " END"
 _HOME_CUR = _case("c", lookup.CURRENCIES)
 
 SQL = {
@@ -134,6 +136,12 @@ SQL = {
     "search_rows": f"WITH r AS (SELECT slug, unnest(results) AS r FROM search_page1) SELECT DISTINCT sha1('adzuna:' || r.id) AS posting_id, {_strip('r.title')} AS title, r.company.display_name AS company, upper(regexp_extract(slug, '([a-z]{{2}})$', 1)) AS country, r.salary_min AS salary_min_eur, (r.salary_min + r.salary_max) / 2 AS salary_annual_eur_p50, try_cast(r.salary_is_predicted AS INT) <> 0 AS salary_imputed, r.redirect_url AS posting_url FROM r WHERE {_strip('r.id')} <> '' AND starts_with(r.redirect_url, 'http')",
     "intercom_rows": f"WITH j AS (SELECT slug, unnest(jobs) AS j FROM board_intercom), p AS (SELECT slug, j, {_OFFICE} AS location_raw FROM j WHERE j.id IS NOT NULL), m AS (SELECT *, {_PLACE} AS country, {_REMOTE} AS remote FROM p) SELECT DISTINCT sha1('greenhouse:' || coalesce(slug, '') || ':' || j.id) AS posting_id, j.title AS title, location_raw, country, remote, j.absolute_url AS posting_url FROM m WHERE country IS NOT NULL AND starts_with(j.absolute_url, 'http') AND {_tells('lower(j.title)', market.KEYWORDS)}",
     "palantir_rows": f"WITH p AS (SELECT *, categories.location AS location_raw, coalesce(nullif(hostedUrl, ''), applyUrl) AS posting_url FROM postings_palantir WHERE {_strip('id')} <> ''), m AS (SELECT *, {_PLACE} AS country, {_REMOTE} AS remote FROM p) SELECT DISTINCT sha1('lever:' || coalesce(slug, '') || ':' || id) AS posting_id, text AS title, location_raw, country, remote, posting_url FROM m WHERE country IS NOT NULL AND starts_with(posting_url, 'http')",
+    "notion_rows": f"""WITH {JOBS_SQL}, o AS (SELECT slug, j, {_NOTION_PLACE} AS location_raw, {unwrapped_sql("json_extract(j, '$.compensation')")} AS pay FROM jobs WHERE json_type(j) = 'OBJECT' AND {_strip("j->>'$.id'")} <> ''),
+      m AS (SELECT *, {_PLACE} AS c, {_REMOTE} AS far FROM o), t AS (SELECT *, {items_sql("json_extract(pay, '$.compensationTiers')")} AS tiers FROM m WHERE c IS NOT NULL AND starts_with(j->>'$.jobUrl', 'http')),
+      p AS (SELECT * EXCLUDE tiers, flatten(list_transform(tiers, lambda t: {items_sql("json_extract(t, '$.components')")})) AS parts FROM t),
+      f AS (SELECT *, list_filter(parts, lambda p: lower(trim(p->>'$.componentType')) IN ('salary', 'base salary') AND upper(p->>'$.currencyCode') = {_HOME_CUR} AND {_FACTOR} IS NOT NULL AND try_cast(p->>'$.minValue' AS DOUBLE) IS NOT NULL AND try_cast(p->>'$.maxValue' AS DOUBLE) IS NOT NULL)[1] AS p FROM p)
+      SELECT DISTINCT sha1('ashby:' || coalesce(slug, '') || ':' || (j->>'$.id')) AS posting_id, j->>'$.title' AS title, c AS country, coalesce(try_cast(j->>'$.isRemote' AS BOOLEAN), false) OR far AS remote,
+        try_cast(p->>'$.minValue' AS DOUBLE) * {_FACTOR} AS salary_min_eur, try_cast(p->>'$.maxValue' AS DOUBLE) * {_FACTOR} AS salary_max_eur, CASE WHEN p IS NOT NULL THEN false END AS salary_imputed FROM f""",
     "union_by_name": "SELECT slug, text AS title, hostedUrl AS url FROM postings_palantir UNION ALL BY NAME SELECT slug, j.title AS title, j.location.name AS place FROM (SELECT slug, unnest(jobs) AS j FROM board_intercom)",
     "redaction": r"""SELECT posting_id, regexp_replace(posting_url || '&app_id=abc&APP_KEY=x''y', '(?i)\b(app_id|app_key|api_key|api-key)=[^&\s''"]+', '\1=REDACTED', 'g') AS url FROM postings""",
     "cube_decode": "SELECT country, substr(isco_code, 1, 1) AS major, CAST(year(posted_at) AS VARCHAR) AS year, count(*) AS n FROM postings WHERE isco_code IS NOT NULL GROUP BY ALL",

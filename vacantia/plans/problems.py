@@ -59,13 +59,13 @@ QUERIES = {"p6_found": p6_found, "p6_units": p6_units, "p5_found": p5_found, "p2
 _WS = r"[\t\n\v\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
-def _unwrapped(x: str) -> str:
+def unwrapped_sql(x: str) -> str:
     return rf"""CASE WHEN json_type({x}) = 'VARCHAR' AND regexp_matches({x}->>'$', '^\s*[\[{{]') AND json_valid({x}->>'$') THEN CAST({x}->>'$' AS JSON) ELSE {x} END"""
 
 
-def _items(x: str) -> str:
+def items_sql(x: str) -> str:
     """A JSON value as list of JSON, one object standing for a list of one; in DuckDB."""
-    return f"CASE json_type({_unwrapped(x)}) WHEN 'ARRAY' THEN CAST({_unwrapped(x)} AS JSON[]) WHEN 'OBJECT' THEN [{_unwrapped(x)}] ELSE CAST([] AS JSON[]) END"
+    return f"CASE json_type({unwrapped_sql(x)}) WHEN 'ARRAY' THEN CAST({unwrapped_sql(x)} AS JSON[]) WHEN 'OBJECT' THEN [{unwrapped_sql(x)}] ELSE CAST([] AS JSON[]) END"
 
 
 def _numbered(source: str, keys: str, values: str, no: str, to: str) -> str:
@@ -73,18 +73,18 @@ def _numbered(source: str, keys: str, values: str, no: str, to: str) -> str:
     return f"SELECT {keys}, unnest(range(len({values}))) AS {no}, unnest({values}) AS {to} FROM {source}"
 
 
-_JOBS = f"""
+JOBS_SQL = f"""
 envelopes AS (SELECT DISTINCT envelope_id, slug, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS p FROM board_notion),
-lists AS (SELECT envelope_id, slug, {_items("json_extract(p, '$.jobs')")} AS jobs FROM envelopes),
+lists AS (SELECT envelope_id, slug, {items_sql("json_extract(p, '$.jobs')")} AS jobs FROM envelopes),
 jobs AS ({_numbered("lists", "envelope_id, slug", "jobs", "job_no", "j")})"""
 
 _P2 = f"""
-WITH {_JOBS},
-pay AS (SELECT envelope_id, job_no, {_unwrapped("json_extract(j, '$.compensation')")} AS c FROM jobs),
-tier_lists AS (SELECT envelope_id, job_no, {_items("json_extract(c, '$.compensationTiers')")} AS tiers FROM pay),
-tiers AS (SELECT envelope_id, job_no, tier_no, {_unwrapped("t")} AS t FROM ({_numbered("tier_lists", "envelope_id, job_no", "tiers", "tier_no", "t")})),
-part_lists AS (SELECT envelope_id, job_no, tier_no, {_items("json_extract(t, '$.components')")} AS parts FROM tiers WHERE json_type(t) = 'OBJECT'),
-parts AS (SELECT envelope_id, job_no, tier_no, part_no, {_unwrapped("c")} AS c FROM ({_numbered("part_lists", "envelope_id, job_no, tier_no", "parts", "part_no", "c")})),
+WITH {JOBS_SQL},
+pay AS (SELECT envelope_id, job_no, {unwrapped_sql("json_extract(j, '$.compensation')")} AS c FROM jobs),
+tier_lists AS (SELECT envelope_id, job_no, {items_sql("json_extract(c, '$.compensationTiers')")} AS tiers FROM pay),
+tiers AS (SELECT envelope_id, job_no, tier_no, {unwrapped_sql("t")} AS t FROM ({_numbered("tier_lists", "envelope_id, job_no", "tiers", "tier_no", "t")})),
+part_lists AS (SELECT envelope_id, job_no, tier_no, {items_sql("json_extract(t, '$.components')")} AS parts FROM tiers WHERE json_type(t) = 'OBJECT'),
+parts AS (SELECT envelope_id, job_no, tier_no, part_no, {unwrapped_sql("c")} AS c FROM ({_numbered("part_lists", "envelope_id, job_no, tier_no", "parts", "part_no", "c")})),
 inter AS (SELECT DISTINCT envelope_id, jobs FROM board_intercom),
 ij AS ({_numbered("inter", "envelope_id", "jobs", "job_no", "j")}),
 offices AS ({_numbered("ij", "envelope_id, job_no", "j.offices", "no", "o")}),
@@ -114,7 +114,7 @@ _CASES = " ".join(f"WHEN '{k.lower()}' THEN {v}" for k, v in instants.ABBREVIATI
 _MONTH = "CASE lower(" + _part("n", "VARCHAR") + "[:3]) " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(instants.MONTHS, 1)) + " END"
 
 _P5 = f"""
-WITH {_JOBS},
+WITH {JOBS_SQL},
 rows AS (
   SELECT 'postings_palantir' AS source_table, id AS record_id, slug, createdAt AS v FROM postings_palantir
   UNION ALL SELECT 'board_notion', j->>'$.id', slug, j->>'$.publishedAt' FROM jobs

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from vacantia.functions import jsonshape as js
 from vacantia.functions import lookup, text
 from vacantia.operators.normalise import keep_first
-from vacantia.runtime import strip_blanks
+from vacantia.runtime import once, strip_blanks
 from vacantia.schemas import POSTING
 
 
@@ -28,6 +28,14 @@ def _somewhere(*places: Column) -> Column:
     return F.coalesce(*[F.nullif(strip_blanks(p), F.lit("")) for p in places])
 
 
+def _placed(df: DataFrame, place: Column, allowed: list[str]) -> tuple[DataFrame, Column, Column, Column]:
+    """``df`` with its place read once, and the place, country and remoteness that come of it."""
+    df = once(df, "_place", place)
+    country, remote = text.match_country(F.col("_place"), allowed)
+    df = once(df, "_match", F.struct(country.alias("country"), remote.alias("remote")))
+    return df, F.col("_place"), F.col("_match.country"), F.col("_match.remote")
+
+
 def search_pages(pages: DataFrame, now: Column, country: Column) -> DataFrame:
     """Pages of a job search: results[] with nested company and place; pay per year; '0', '1' flags imputed pay."""
     r = pages.select("*", F.posexplode("results").alias("_i", "r")).filter("r IS NOT NULL")
@@ -44,8 +52,7 @@ def intercom_board(boards: DataFrame, now: Column, allowed: list[str]) -> DataFr
     j = boards.select("*", F.posexplode("jobs").alias("_i", "j")).filter("j IS NOT NULL")
     c = lambda n: F.col(f"j.{n}")
     office = F.get(c("offices"), F.lit(0))
-    place = _somewhere(c("location.name"), office["location"], office["name"])
-    country, remote = text.match_country(place, allowed)
+    j, place, country, remote = _placed(j, _somewhere(c("location.name"), office["location"], office["name"]), allowed)
     return _posting(
         j, external_id=c("id"), ord=F.col("_i"), posting_id=text.posting_id("greenhouse", F.col("slug"), c("id")), source=F.lit("greenhouse"), title=c("title"), company=F.col("slug"), location_raw=place, country=country, remote=remote,
         posted_at=F.coalesce(F.try_to_timestamp(strip_blanks(c("updated_at"))), now), ingested_at=now, posting_url=c("absolute_url"), raw_payload=F.to_json("j"),
@@ -54,11 +61,10 @@ def intercom_board(boards: DataFrame, now: Column, allowed: list[str]) -> DataFr
 
 def palantir_postings(rows: DataFrame, now: Column, allowed: list[str]) -> DataFrame:
     """A bare list of postings; creation times come as milliseconds or ISO text, the link may be the one to apply."""
-    place = F.col("categories.location")
-    country, remote = text.match_country(place, allowed)
+    x, place, country, remote = _placed(rows, F.col("categories.location"), allowed)
     url = F.coalesce(F.nullif(F.col("hostedUrl"), F.lit("")), F.col("applyUrl"))
     return _posting(
-        rows, external_id=F.col("id"), posting_id=text.posting_id("lever", F.col("slug"), F.col("id")), source=F.lit("lever"), title=F.col("text"), company=F.col("slug"), location_raw=place, country=country, remote=remote,
+        x, external_id=F.col("id"), posting_id=text.posting_id("lever", F.col("slug"), F.col("id")), source=F.lit("lever"), title=F.col("text"), company=F.col("slug"), location_raw=place, country=country, remote=remote,
         posted_at=text.moment(F.col("createdAt"), now), ingested_at=now, posting_url=url, raw_payload=F.to_json(F.struct(*[c for c in rows.columns if c != "slug"])),
     )
 
@@ -79,14 +85,13 @@ def notion_board(boards: DataFrame, now: Column, allowed: list[str], with_pay: b
     """Board envelopes as JSON text, with pay tiers; remote if the job says so or its place does."""
     j = boards.select("slug", F.posexplode(js.items(js.member(js.parse(F.col("payload")), "jobs"))).alias("_i", "j")).filter(js.is_object(F.col("j")))
     c = lambda n: js.text(F.col("j"), n)
-    place = _somewhere(c("location"), c("locationName"))
-    country, remote = text.match_country(place, allowed)
+    j, place, country, remote = _placed(j, _somewhere(c("location"), c("locationName")), allowed)
     pay = first_pay(js.member(js.unwrap(js.member(F.col("j"), "compensation")), "compensationTiers"), lookup.currency_of(country)) if with_pay else F.lit(None).cast("struct<low:double,high:double>")
-    j = j.withColumns({"_place": place, "_country": country, "_remote": remote, "_pay": pay})
+    j = once(j, "_pay", pay)
     low, high = F.col("_pay.low"), F.col("_pay.high")
     return _posting(
-        j, external_id=c("id"), ord=F.col("_i"), posting_id=text.posting_id("ashby", F.col("slug"), c("id")), source=F.lit("ashby"), title=c("title"), company=F.col("slug"), location_raw=F.col("_place"), country=F.col("_country"),
-        remote=F.coalesce(F.try_variant_get("j", "$.isRemote", "boolean"), F.lit(False)) | F.col("_remote"), salary_min_eur=low, salary_max_eur=high, salary_period=F.when(low.isNotNull(), "annual"),
+        j, external_id=c("id"), ord=F.col("_i"), posting_id=text.posting_id("ashby", F.col("slug"), c("id")), source=F.lit("ashby"), title=c("title"), company=F.col("slug"), location_raw=place, country=country,
+        remote=F.coalesce(F.try_variant_get("j", "$.isRemote", "boolean"), F.lit(False)) | remote, salary_min_eur=low, salary_max_eur=high, salary_period=F.when(low.isNotNull(), "annual"),
         salary_annual_eur_p50=(low + high) / 2, salary_imputed=F.when(low.isNotNull(), F.lit(False)), posted_at=F.coalesce(F.try_to_timestamp(strip_blanks(c("publishedAt"))), F.try_to_timestamp(strip_blanks(c("updatedAt"))), now),
         ingested_at=now, posting_url=c("jobUrl"), raw_payload=F.to_json("j"),
     )
@@ -102,10 +107,10 @@ def personio_positions(spark: SparkSession, path: str) -> DataFrame:
 
 def personio_feed(positions: DataFrame, slug: Column, now: Column, allowed: list[str]) -> DataFrame:
     """Positions of an XML feed; their address is made from slug and id; positions without name are dropped."""
-    country, remote = text.match_country(F.col("office"), allowed)
-    x = positions.filter(strip_blanks(F.coalesce("name", F.lit(""))) != "").withColumn("_slug", slug)
+    named = positions.filter(strip_blanks(F.coalesce("name", F.lit(""))) != "").withColumn("_slug", slug)
+    x, place, country, remote = _placed(named, F.col("office"), allowed)
     return _posting(
-        x, external_id=F.col("id"), posting_id=text.posting_id("personio", F.col("_slug"), F.col("id")), source=F.lit("personio"), title=F.col("name"), company=F.coalesce("subcompany", "_slug"), location_raw=F.col("office"), country=country, remote=remote,
+        x, external_id=F.col("id"), posting_id=text.posting_id("personio", F.col("_slug"), F.col("id")), source=F.lit("personio"), title=F.col("name"), company=F.coalesce("subcompany", "_slug"), location_raw=place, country=country, remote=remote,
         posted_at=F.coalesce(F.try_to_timestamp("createDate"), now), ingested_at=now, posting_url=F.concat(F.lit("https://"), F.col("_slug"), F.lit(".jobs.personio.de/job/"), F.col("id")), raw_payload=F.to_json(F.struct(*positions.columns)),
     )
 
