@@ -38,18 +38,18 @@ def _placed(df: DataFrame, place: Column, allowed: list[str]) -> tuple[DataFrame
 
 def search_pages(pages: DataFrame, now: Column, country: Column) -> DataFrame:
     """Pages of a job search: results[] with nested company and place; pay per year; '0', '1' flags imputed pay."""
-    r = pages.select("*", F.posexplode("results").alias("_i", "r")).filter("r IS NOT NULL")
+    r = pages.select(country.alias("_country"), F.posexplode("results").alias("_i", "r")).filter("r IS NOT NULL")
     c = lambda n: F.col(f"r.{n}")
     return _posting(
         r, external_id=c("id"), ord=F.col("_i"), posting_id=text.posting_id("adzuna", c("id")), source=F.lit("adzuna"), title=strip_blanks(c("title")), company=c("company.display_name"), location_raw=c("location.display_name"),
-        country=F.upper(country), salary_min_eur=c("salary_min"), salary_max_eur=c("salary_max"), salary_period=F.lit("annual"), salary_annual_eur_p50=(c("salary_min") + c("salary_max")) / 2,
+        country=F.upper("_country"), salary_min_eur=c("salary_min"), salary_max_eur=c("salary_max"), salary_period=F.lit("annual"), salary_annual_eur_p50=(c("salary_min") + c("salary_max")) / 2,
         salary_imputed=text.flag(c("salary_is_predicted")), posted_at=F.try_to_timestamp(strip_blanks(c("created"))), ingested_at=now, posting_url=c("redirect_url"), raw_payload=F.to_json("r"),
     )
 
 
 def intercom_board(boards: DataFrame, now: Column, allowed: list[str]) -> DataFrame:
     """Board envelopes jobs[] with offices: the place is the job's, else the first office's place, else its name."""
-    j = boards.select("*", F.posexplode("jobs").alias("_i", "j")).filter("j IS NOT NULL")
+    j = boards.select("slug", F.posexplode("jobs").alias("_i", "j")).filter("j IS NOT NULL")
     c = lambda n: F.col(f"j.{n}")
     office = F.get(c("offices"), F.lit(0))
     j, place, country, remote = _placed(j, _somewhere(c("location.name"), office["location"], office["name"]), allowed)
