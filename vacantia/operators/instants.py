@@ -75,21 +75,24 @@ def with_instant(df: DataFrame, value: str, zone: str, day_first: str, to: str =
     seconds below 10^11, milliseconds below 10^14, microseconds below 10^17 and is no instant beyond. An offset
     wins over an abbreviation's or region's zone. Digits beyond microseconds are cut. A date alone is the start of
     its day. Null, blank and impossible values (31 November, 25 o'clock, unknown zones) give null."""
-    # the row is packed away, so that its columns' names never meet those used here
-    packed = df.select(F.struct("*").alias("_row"), F.col(value).alias("_text"), F.col(zone).alias("_zone"), F.col(day_first).alias("_first"))
-    x = once(packed, "_t", F.split(F.regexp_replace(strip_blanks(F.col("_text")), PATTERN, _TEMPLATE), _SEP))
+    # names that none of the row's columns begins with
+    own = "_"
+    while any(c.startswith(own) for c in df.columns):
+        own += "_"
+    x = df.select("*", F.col(value).alias(f"{own}text"), F.col(zone).alias(f"{own}zone"), F.col(day_first).alias(f"{own}first"))
+    x = once(x, f"{own}t", F.split(F.regexp_replace(strip_blanks(F.col(f"{own}text")), PATTERN, _TEMPLATE), _SEP))
     # values that do not match are left as they were, without the leading separator
-    part = {k: F.nullif(F.when(F.get("_t", F.lit(0)) == "", F.get("_t", F.lit(n + 1))), F.lit("")) for n, k in enumerate(PARTS)}
-    x = once(x, "_c", F.struct(*[c.alias(k) for k, c in part.items()]))
-    c = {k: F.col(f"_c.{k}") for k in PARTS}
+    part = {k: F.nullif(F.when(F.get(f"{own}t", F.lit(0)) == "", F.get(f"{own}t", F.lit(n + 1))), F.lit("")) for n, k in enumerate(PARTS)}
+    x = once(x, f"{own}c", F.struct(*[c.alias(k) for k, c in part.items()]))
+    c = {k: F.col(f"{own}c.{k}") for k in PARTS}
     whole = {k: c[k].cast("long") for k in ("nu", "y", "m", "d", "p", "q", "h", "i", "s", "oh", "om")}
     named = reduce(lambda acc, k: acc.when(F.lower(F.substring(c["n"], 1, 3)) == MONTHS[k], F.lit(k + 1).cast("long")), range(1, 12), F.when(F.lower(F.substring(c["n"], 1, 3)) == MONTHS[0], F.lit(1).cast("long")))
-    first = F.coalesce(F.col("_first"), F.lit(False))
+    first = F.coalesce(F.col(f"{own}first"), F.lit(False))
     known = sorted(zoneinfo.available_timezones() & _java_zones(df))
-    minutes = reduce(lambda acc, kv: acc.when(F.upper(c["ab"]) == kv[0], F.lit(kv[1])), ABBREVIATIONS.items(), F.when((F.upper(c["ab"]) == "IST") & (F.col("_zone") == "Europe/Dublin"), F.lit(60)))
+    minutes = reduce(lambda acc, kv: acc.when(F.upper(c["ab"]) == kv[0], F.lit(kv[1])), ABBREVIATIONS.items(), F.when((F.upper(c["ab"]) == "IST") & (F.col(f"{own}zone") == "Europe/Dublin"), F.lit(60)))
     stated = F.when((whole["oh"] <= 18) & (F.coalesce(whole["om"], F.lit(0)) <= 59), F.when(c["os"] == "-", -1).otherwise(1) * (whole["oh"] * 60 + F.coalesce(whole["om"], F.lit(0))))
     region = F.when(F.lower(c["rg"]).isin("utc", "gmt", "z"), "UTC").when(c["rg"].isin(known), c["rg"])
-    x = once(x, "_v", F.struct(
+    x = once(x, f"{own}v", F.struct(
         whole["nu"].alias("number"),
         F.rpad(F.substring(F.coalesce(c["nf"], F.lit("")), 1, 6), 6, "0").cast("long").alias("part"),
         c["nu"].startswith("-").alias("minus"),
@@ -101,22 +104,22 @@ def with_instant(df: DataFrame, value: str, zone: str, day_first: str, to: str =
         F.lower(c["ap"]).alias("ap"),
         F.when(c["os"].isNotNull(), stated).otherwise(minutes).cast("long").alias("minutes"),
         (c["os"].isNotNull() | c["ab"].isNotNull()).alias("fixed"),
-        F.when(c["rg"].isNotNull(), region).otherwise(F.when(F.col("_zone").isin(known), F.col("_zone"))).alias("wall"),
+        F.when(c["rg"].isNotNull(), region).otherwise(F.when(F.col(f"{own}zone").isin(known), F.col(f"{own}zone"))).alias("wall"),
     ))
-    v = {k: F.col(f"_v.{k}") for k in ("number", "part", "minus", "y", "m", "d", "h", "i", "s", "f", "ap", "minutes", "fixed", "wall")}
+    v = {k: F.col(f"{own}v.{k}") for k in ("number", "part", "minus", "y", "m", "d", "h", "i", "s", "f", "ap", "minutes", "fixed", "wall")}
     sane = (
         (v["y"] >= 1) & v["m"].between(1, 12) & (v["d"] >= 1) & (v["d"] <= _month_days(v["y"], v["m"]))
         & F.when(v["ap"].isNull(), v["h"] <= 23).otherwise(v["h"].between(1, 12)) & (v["i"] <= 59) & (v["s"] <= 59)
     )
     hour = F.when(v["ap"].isNull(), v["h"]).otherwise(v["h"] % 12 + F.when(v["ap"] == "pm", 12).otherwise(0))
     local = (days_from_civil(v["y"], v["m"], v["d"]) * 86400 + (hour * 60 + v["i"]) * 60 + v["s"]) * 1_000_000 + v["f"]
-    x = once(x, "_l", F.when(sane, local))
-    at = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(F.when(~v["fixed"] & v["wall"].isNotNull(), F.col("_l"))), F.coalesce(v["wall"], F.lit("UTC"))))
-    placed = F.when(v["fixed"], F.col("_l") - v["minutes"] * 60_000_000).otherwise(at)
+    x = once(x, f"{own}l", F.when(sane, local))
+    at = F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(F.when(~v["fixed"] & v["wall"].isNotNull(), F.col(f"{own}l"))), F.coalesce(v["wall"], F.lit("UTC"))))
+    placed = F.when(v["fixed"], F.col(f"{own}l") - v["minutes"] * 60_000_000).otherwise(at)
     size, sign = F.abs(v["number"]), F.when(v["minus"], -1).otherwise(1)
     number = F.when(size < 10**11, v["number"] * 1_000_000 + sign * v["part"]).when(size < 10**14, v["number"] * 1000 + sign * F.floor(v["part"] / 1000)).when(size < 10**17, v["number"])
-    x = once(x, "_us", F.when(v["number"].isNotNull(), number).otherwise(placed))
-    return x.select(*[F.col("_row")[c].alias(c) for c in df.columns if c != to], F.col("_us").alias(to))
+    x = once(x, f"{own}us", F.when(v["number"].isNotNull(), number).otherwise(placed))
+    return x.select(*[c for c in df.columns if c != to], F.col(f"{own}us").alias(to))
 
 
 def _java_zones(df: DataFrame) -> set[str]:
