@@ -7,7 +7,7 @@ word by word.
 
 Before that, texts are brought to words (abbreviations written out, advertising and legal forms left out), and
 slips of spelling are put right by the corpus itself: a word is read as a far more frequent one of the same kind
-that is within two edits (an edit also being a swap), or as two words that are often neighbours and were
+that is within two edits (an edit also being a swap), or as two or three words that are often neighbours and were
 written together. The number of postings tells slips from words, so that Water and Waste, two edits apart, stay
 two words. Postings alike in company, seniority and words make one class; classes, not postings, are compared.
 
@@ -39,7 +39,7 @@ RANKS = {"senior": ("senior", "sr", "snr"), "junior": ("junior", "jr", "jnr"), "
 SHINGLE, VALUES, BANDS, ROWS = 3, 128, 32, 4
 #: Similarity of title words from which pairs are verified, and the posterior probability under which they are dropped.
 THRESHOLD, TOLERANCE = 0.6, 0.001
-#: What marks a word that may be a slip of several.
+#: What marks a word that may be a slip of several, or is not near enough to one.
 DOUBT = "?"
 #: How many times more frequent a word must be for a similar one to count as its slip (names of companies, which are
 #: made up and far apart, less), and postings a pair of words needs to be split.
@@ -68,24 +68,25 @@ def _deletions(word: str, times: str) -> str:
 
 
 def corrections(typed: DataFrame) -> DataFrame:
-    """kind, word, read: what slips are read as (one word, or two with a blank, or itself with ``DOUBT``); kind is w (title), c (company) or t (town)."""
+    """kind, word, read: what slips are read as (one word, or more with blanks, or itself with ``DOUBT``); kind is w (title), c (company) or t (town)."""
     each = [("w", F.flatten("phrases")), ("c", F.col("company")), ("t", F.col("town"))]
     words = reduce(DataFrame.unionByName, [typed.select(F.lit(k).alias("kind"), F.explode(c).alias("word")) for k, c in each])
     counted = words.groupBy("kind", "word").agg(F.count("*").alias("n"))
-    neighbours = typed.select(F.explode("phrases").alias("p")).filter("size(p) > 1").select(F.explode(F.zip_with(F.slice("p", 1, F.size("p") - 1), F.slice("p", 2, F.size("p") - 1), lambda a, b: F.concat_ws(" ", a, b))).alias("read"))
+    runs = F.transform(F.sequence(F.lit(2), F.least(F.size("p"), F.lit(3))), lambda n: F.transform(F.sequence(F.lit(1), F.size("p") - n + 1), lambda i: F.array_join(F.slice("p", i, n), " ")))
+    neighbours = typed.select(F.explode("phrases").alias("p")).filter("size(p) > 1").select(F.explode(F.flatten(runs)).alias("read"))
     joined = neighbours.groupBy("read").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN).select(F.lit("w").alias("kind"), F.replace("read", F.lit(" "), F.lit("")).alias("word"), "n", "read")
     targets = counted.withColumn("read", F.col("word")).unionByName(joined)
     times = "IF(length(word) >= 7, 2, 1)"
     ratio = F.when(F.col("kind") == "c", NAME_RATIO).otherwise(RATIO)
     left = counted.filter("length(word) >= 4").selectExpr("kind", "word", "n", f"explode({_deletions('word', times)}) AS v")
     right = targets.filter((F.col("n") >= ratio) & (F.length("word") >= 4)).selectExpr("kind", "word AS target", "n AS often", "read", f"explode({_deletions('word', times)}) AS v")
-    met = left.join(right, ["kind", "v"]).filter(F.col("often") >= ratio * F.col("n")).filter("word <> read").select("kind", "word", "target", "often", "read").distinct()
+    met = left.join(right, ["kind", "v"]).filter(F.col("often") >= F.when(F.col("word") == F.col("target"), 1).otherwise(ratio) * F.col("n")).filter("word <> read").select("kind", "word", "target", "often", "read").distinct()
     # two letters swapped are one edit, as are those that levenshtein counts as one
     swapped = "length(word) = length(target) AND array_sort(split(word, '')) = array_sort(split(target, ''))"
     near = met.withColumn("d", F.levenshtein("word", "target", 2)).filter("d >= 0").withColumn("d", F.expr(f"IF({swapped}, 1, d)")).filter("d <= 1 OR length(word) >= 7")
     best = near.groupBy("kind", "word").agg(F.sort_array(F.collect_set(F.struct("d", (-F.col("often")).alias("often"), "read"))).alias("l"))
-    # a title's slip that is as near to two words stays as it is, marked, for the comparison of pairs to judge
-    open_slip = (F.col("kind") == "w") & F.expr("size(l) > 1 AND l[1].d = l[0].d")
+    # a title's slip that is as near to two words, or two edits from one, stays as it is, marked, for the comparison of pairs to judge
+    open_slip = (F.col("kind") == "w") & F.expr("l[0].d = 2 OR (size(l) > 1 AND l[1].d = l[0].d)")
     return best.select("kind", "word", F.when(open_slip, F.concat("word", F.lit(DOUBT))).otherwise(F.col("l")[0]["read"]).alias("read"))
 
 
@@ -191,7 +192,8 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose companies, ranks and words are the same but for a doubtful rest within a few edits.
 
     ``words`` must agree; what is left on both sides must be within half its letters (five edits at most) of each
-    other, and on one side consist of words so rare that they are no words of their own."""
+    other or of the same letters (words written together), and on one side consist of words so rare that they
+    are no words of their own."""
     cols = ["company", "rank", "words", "rare"]
     left, right = (classes.select(F.col("class_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols]) for c in ("a", "b"))
     x = pairs.join(left, "a").join(right, "b").filter("rank_a = rank_b")
@@ -199,7 +201,8 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     x = x.filter(f"get(company_a, 0) = get(company_b, 0) AND {second}")
     x = x.selectExpr("a", "b", "array_except(words_a, words_b) AS u", "array_except(words_b, words_a) AS v", "rare_a", "rare_b")
     u, v = (f"replace(array_join({c}, ''), '{DOUBT}', '')" for c in "uv")
-    close = f"levenshtein({u}, {v}) <= greatest(2, least(5, length({u}) DIV 2))"
+    letters = "array_join(array_sort(split({}, '')), '')"
+    close = f"(levenshtein({u}, {v}) <= greatest(2, least(5, length({u}) DIV 2)) OR {letters.format(u)} = {letters.format(v)})"
     return x.filter(f"{u} = {v} OR (size(u) > 0 AND size(v) > 0 AND {close} AND (size(array_except(u, rare_a)) = 0 OR size(array_except(v, rare_b)) = 0))").select("a", "b")
 
 
