@@ -47,12 +47,12 @@ RATIO, NAME_RATIO, OFTEN = 8, 3, 8
 
 
 def typed_words(postings: DataFrame) -> DataFrame:
-    """posting_id, rid and the words of title, company and town, and the rank, of each distinct typed posting with a company."""
+    """posting_id, rid (a number of its own) and the words of title, company and town, and the rank, of each distinct typed posting with a company."""
     distinct = postings.filter("posting_id IS NOT NULL AND company IS NOT NULL").select("posting_id", F.coalesce("title", F.lit("")).alias("title"), "company", F.coalesce("location_raw", F.lit("")).alias("place")).distinct()
     parts = rf"split({plain_sql('title')}, '[\\s ]+[-–—]+|[-–—]+[\\s ]+|[–—:|/,;()\\[\\]{{}}#*0-9]+')"
     every = f"transform({parts}, p -> {words_sql('p', ADVERTS)})"
     ranks = " ".join(f"WHEN arrays_overlap(w, array({', '.join(repr(x) for x in names)})) THEN '{rank}'" for rank, names in RANKS.items())
-    x = distinct.withColumn("rid", F.xxhash64("posting_id", "title", "company", "place"))
+    x = distinct.withColumn("rid", F.monotonically_increasing_id())
     x = x.selectExpr("posting_id", "rid", f"{every} AS phrases", f"array_distinct({words_sql(plain_sql('company'), LEGAL)}) AS company", f"array_distinct({words_sql(plain_sql('place'), PLACES)}) AS town")
     x = x.selectExpr("*", "flatten(phrases) AS w")
     short = lambda c: f"filter({c}, w -> length(w) > 1)"
@@ -91,23 +91,25 @@ def corrections(typed: DataFrame) -> DataFrame:
 
 
 def canonical(typed: DataFrame) -> DataFrame:
-    """posting_id, rid, rank, company, words, town with slips put right; words is sorted, the company's first word first."""
+    """posting_id, rank, company, words, town with slips put right; words is sorted, the company's first word first.
+
+    ``typed`` must be written (cut from its lineage), so that its row numbers hold. Only the few words that have a
+    correction are brought back to their rows, as one small map a row."""
     fixed = corrections(typed)
-    parts = F.concat(
-        F.transform(F.flatten("phrases"), lambda w: F.struct(F.lit("w").alias("kind"), F.lit(0).alias("pos"), w.alias("word"))),
-        F.transform("company", lambda w, i: F.struct(F.lit("c").alias("kind"), i.alias("pos"), w.alias("word"))),
-        F.transform("town", lambda w: F.struct(F.lit("t").alias("kind"), F.lit(0).alias("pos"), w.alias("word"))),
-    )
-    each = typed.select("posting_id", "rid", "rank", F.explode(parts).alias("p")).select("posting_id", "rid", "rank", "p.*")
-    # the frequent words have no correction; a hot one that has is split by the adaptive skew join
-    read = each.join(fixed, ["kind", "word"], "left").select("posting_id", "rid", "rank", "kind", "pos", F.coalesce("read", "word").alias("word"))
-    gathered = read.groupBy("posting_id", "rid", "rank").agg(F.sort_array(F.collect_set(F.struct("kind", "pos", "word"))).alias("l"))
 
-    def of(kind: str) -> Column:
-        return F.transform(F.filter("l", lambda p: p["kind"] == kind), lambda p: p["word"])
+    def of_kind(kind: str, words: Column) -> Column:
+        return F.transform(words, lambda w: F.struct(F.lit(kind).alias("kind"), w.alias("word")))
+
+    every = F.array_distinct(F.concat(of_kind("w", F.flatten("phrases")), of_kind("c", F.col("company")), of_kind("t", F.col("town"))))
+    hits = typed.select("rid", F.explode(every).alias("p")).select("rid", "p.*").join(fixed, ["kind", "word"])
+    maps = hits.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct(F.concat("kind", "word"), "read"))).alias("fix"))
+    rows = typed.join(maps, "rid", "left")
+
+    def read(kind: str, words: Column) -> Column:
+        return F.transform(words, lambda w: F.coalesce(F.try_element_at("fix", F.concat(F.lit(kind), w)), w))
 
-    words = F.array_sort(F.array_distinct(F.split(F.array_join(of("w"), " "), " ")))
-    return gathered.select("posting_id", "rid", "rank", of("c").alias("company"), words.alias("words"), F.array_join(F.array_sort(of("t")), " ").alias("town"))
+    words = F.array_sort(F.array_distinct(F.split(F.array_join(read("w", F.flatten("phrases")), " "), " ")))
+    return rows.select("posting_id", "rank", read("c", F.col("company")).alias("company"), words.alias("words"), F.array_join(F.array_sort(F.array_distinct(read("t", F.col("town")))), " ").alias("town"))
 
 
 _SEEDS = np.random.default_rng(7)
@@ -165,18 +167,18 @@ def _equal_bytes(a: Column, b: Column) -> Column:
 
 
 def candidates(classes: DataFrame) -> DataFrame:
-    """a, b (class ids, a < b): pairs of classes of one company that survive the pruning.
+    """a, b (class ids, a < b): pairs of classes of one company, one of them ``open`` at least, that survive the pruning.
 
     A band's key is hashed together with the company's first word, so no bucket goes beyond one company. Pairs are
     made by a join on that key, which is left to the adaptive skew join to split where a bucket is hot."""
     grams = F.flatten(F.transform(F.concat("words", F.array(F.concat(F.lit("!"), "rank"))), lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.xxhash64(F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(SHINGLE))))))
     signed = classes.select("class_id", F.array_distinct(grams).alias("g")).filter("size(g) > 0").mapInArrow(_minhash, "class_id bigint, bands array<bigint>, signature array<bigint>")
-    signed = cut_lineage(signed.join(classes.select("class_id", F.get("company", F.lit(0)).alias("first")), "class_id"))
-    bands = signed.select("class_id", F.posexplode("bands").alias("i", "key"), "first").select("class_id", F.xxhash64("first", "i", "key").alias("key"))
-    # only buckets that hold two classes at least go on
-    full = bands.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    kept = bands.join(full, "key", "left_semi")
-    pairs = kept.select("key", F.col("class_id").alias("a")).join(kept.select("key", F.col("class_id").alias("b")), "key").filter("a < b").select("a", "b").distinct()
+    signed = cut_lineage(signed.join(classes.select("class_id", F.get("company", F.lit(0)).alias("first"), "open"), "class_id"))
+    bands = signed.select("class_id", F.posexplode("bands").alias("i", "key"), "first", "open").select("class_id", F.xxhash64("first", "i", "key").alias("key"), "open")
+    # a class without doubtful words is only ever linked to one that has some, or to its twin: those ask, all answer
+    asks = bands.filter("open").select("key", F.col("class_id").alias("x"))
+    met = asks.join(bands.select("key", F.col("class_id").alias("y")), "key").filter("x <> y")
+    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     left, right = (signed.select(F.col("class_id").alias(c), F.col("signature").alias(f"s{c}")) for c in ("a", "b"))
     compared = pairs.join(left, "a").join(right, "b")
     # piece by piece: a pair that is dropped is not compared any further
@@ -217,7 +219,12 @@ def openings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = rows.count()
     seen = rows.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter((F.col("n") <= 3 + total // 100_000) | F.col("word").endswith(DOUBT)).select("word")
     doubtful = classes.select("class_id", F.explode("words").alias("word")).join(seen, "word").groupBy("class_id").agg(F.collect_set("word").alias("rare"))
-    classes = cut_lineage(classes.join(doubtful, "class_id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>"))))
+    # twins differ in the company's further words only
+    twin = F.xxhash64(F.get("company", F.lit(0)), "rank", F.array_join("words", " "))
+    twins = classes.groupBy(twin.alias("twin")).agg(F.count("*").alias("n_twins")).filter("n_twins > 1")
+    x = classes.join(doubtful, "class_id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>"))).withColumn("twin", twin)
+    x = x.join(twins, "twin", "left").withColumn("open", (F.size("rare") > 0) | F.col("n_twins").isNotNull())
+    classes = cut_lineage(x.drop("twin", "n_twins"))
     links = cut_lineage(_verified(candidates(classes), classes))
     return rows.select("posting_id", "class_id", "town").distinct(), links
 
