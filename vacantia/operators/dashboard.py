@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import lookup, text
+from vacantia.operators.quantile import exact_quantile
 
 COLUMNS = (
     "title", "company", "country", "posted_at", "posting_url", "salary_annual_eur_p50", "salary_imputed", "salary_period",
@@ -61,8 +62,10 @@ def histogram(rows: DataFrame, low: float, high: float, bins: int) -> DataFrame:
 
 def median_by_country(rows: DataFrame) -> DataFrame:
     """country, p50, n: exact medians, highest first; countries without salaries last."""
-    pay = F.col("salary_annual_eur_p50")
-    return rows.filter("country IS NOT NULL").groupBy("country").agg(F.percentile(pay, 0.5).alias("p50"), F.count(pay).cast("int").alias("n")).orderBy(F.desc_nulls_last("p50"), "country")
+    live = rows.filter("country IS NOT NULL")
+    medians = exact_quantile(live, ["country"], "salary_annual_eur_p50", 0.5)
+    every = live.select("country").distinct().join(medians, "country", "left")
+    return every.select("country", "p50", F.coalesce("n", F.lit(0)).cast("int").alias("n")).orderBy(F.desc_nulls_last("p50"), "country")
 
 
 def top_titles(rows: DataFrame, n: int = 15) -> DataFrame:
@@ -77,8 +80,8 @@ def major_mix(rows: DataFrame) -> DataFrame:
 def heatmap(rows: DataFrame, least: int = 3) -> DataFrame:
     """country, isco_major, p50, n of all cells with ``least`` salaries at least."""
     live = rows.filter("country IS NOT NULL AND isco_major IS NOT NULL AND salary_annual_eur_p50 IS NOT NULL")
-    cells = live.groupBy("country", "isco_major").agg(F.percentile("salary_annual_eur_p50", 0.5).alias("p50"), F.count("*").cast("int").alias("n"))
-    return cells.filter(F.col("n") >= least).orderBy("country", "isco_major")
+    cells = exact_quantile(live, ["country", "isco_major"], "salary_annual_eur_p50", 0.5)
+    return cells.filter(F.col("n") >= least).withColumn("n", F.col("n").cast("int")).orderBy("country", "isco_major")
 
 
 def weekly_cadence(rows: DataFrame) -> DataFrame:
@@ -164,4 +167,4 @@ def with_skills(rows: DataFrame, skills: list[str], most: int = 12) -> DataFrame
 def pay_by_skill(rows: DataFrame) -> DataFrame:
     """skill, p50, n: the median yearly salary of the postings that name each skill."""
     each = rows.filter("salary_annual_eur_p50 IS NOT NULL").select(F.explode("skills").alias("skill"), "salary_annual_eur_p50")
-    return each.groupBy("skill").agg(F.percentile("salary_annual_eur_p50", 0.5).alias("p50"), F.count("*").alias("n"))
+    return exact_quantile(each, ["skill"], "salary_annual_eur_p50", 0.5)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vacantia import schemas
 from vacantia.functions import lookup, text
 from vacantia.operators import cube, dashboard, normalise, similarity
+from vacantia.operators.quantile import exact_quantile
 from vacantia.runtime import once, table
 from vacantia.sources import boards
 
@@ -73,7 +74,7 @@ def benchmark_fx(spark, d):
 
 
 def _benchmark(spark, d):
-    x = postings(spark, d).filter("isco_code IS NOT NULL AND salary_annual_eur_p50 IS NOT NULL").groupBy("isco_code", "country").agg(F.percentile("salary_annual_eur_p50", 0.5).alias("median_eur"))
+    x = exact_quantile(postings(spark, d).filter("isco_code IS NOT NULL"), ["isco_code", "country"], "salary_annual_eur_p50", 0.5, "median_eur").drop("n")
     none = F.lit(None).cast("double")
     x = x.withColumns({"period": F.lit("2025"), "currency": lookup.currency_of(F.col("country")), "p25_eur": none, "p75_eur": none, "n_observations": F.lit(None).cast("bigint"), "source": F.lit("own"), "source_url": F.lit("https://benchmark.example"), "retrieved_at": F.lit(NOW).cast("timestamp")})
     return x.select(schemas.BENCHMARK.names)
