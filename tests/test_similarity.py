@@ -63,3 +63,13 @@ def test_best_labels_equals_brute_force(spark):
 def test_no_labels(spark):
     none = spark.createDataFrame([], "isco_code string, label string, label_kind string")
     assert similarity.best_labels(spark.createDataFrame([("x",)], "title string"), none).count() == 0
+
+
+@given(st.lists(st.text("ab c", min_size=1, max_size=12).filter(str.strip), min_size=1, max_size=12), st.text("ab c", max_size=14), st.sampled_from([1.0, 50.0, 85.0, 100.0]))
+def test_label_index_equals_scoring_every_label(labels, title, cutoff):
+    scores = [token_set_ratio(title, x) for x in labels]
+    want = (scores.index(max(scores)), max(scores)) if max(scores) >= cutoff else None
+    got = similarity.LabelIndex(list(enumerate(labels))).best(title, cutoff)
+    assert (got is None) == (want is None)
+    if want:
+        assert got[0] == want[0] and abs(got[1] - want[1]) < 1e-9

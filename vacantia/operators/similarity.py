@@ -7,6 +7,7 @@ blocks of at most ``BLOCK``, so a long list takes more passes, not more memory."
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -62,6 +63,58 @@ def token_set_ratio(a: str, b: str, floor: float = 0.0) -> float:
     return score if score >= floor else 0.0
 
 
+class LabelIndex:
+    """Labels by their words and lengths, to find the best one for a text without scoring them all.
+
+    Labels that share a word are found by it, and bounded by the lengths of what remains; labels that share none
+    only matter if their length is near the text's. ``best`` gives what scoring every label in order would."""
+
+    def __init__(self, labels: list[tuple[int, str]]):
+        self.at = [i for i, _ in labels]
+        self.words = [frozenset(t.split()) for _, t in labels]
+        self.length = [len(" ".join(w)) for w in self.words]
+        self.letters = [Counter(" ".join(w)) for w in self.words]
+        self.holders: dict[str, list[int]] = {}
+        for j, ws in enumerate(self.words):
+            for w in ws:
+                self.holders.setdefault(w, []).append(j)
+        self.by_length = sorted((n, j) for j, n in enumerate(self.length))
+
+    def best(self, text: str, cutoff: float) -> tuple[int, float] | None:
+        x = set(text.split())
+        n = len(" ".join(x))
+        shared: dict[int, int] = {}
+        for w in x:
+            for j in self.holders.get(w, ()):
+                shared[j] = shared.get(j, 0) + len(w) + 1
+        best, at = cutoff, None
+        bounds = []
+        for j, letters in shared.items():
+            # lengths of the common words and of both rests, each joined by blanks
+            base, left, right = letters - 1, max(n - letters, 0), max(self.length[j] - letters, 0)
+            alone = 100.0 if not left or not right else max(_share(1 + left, 2 * base + 1 + left), _share(1 + right, 2 * base + 1 + right))
+            bounds.append((max(alone, _share(abs(left - right), 2 * (base + 1) + left + right)), -j))
+        if n:
+            # edits are no fewer than the difference of the lengths, a share of 1 - cutoff of their sum at most
+            spread = (100.0 - cutoff) / 100.0
+            low, high = n * (1 - spread) / (1 + spread), n * (1 + spread) / max(1 - spread, 1e-9)
+            own = Counter(" ".join(x))
+            for k in range(bisect_left(self.by_length, (int(low), -1)), len(self.by_length)):
+                size, j = self.by_length[k]
+                if size > high + 1:
+                    break
+                if j not in shared:
+                    common = sum((own & self.letters[j]).values())
+                    bounds.append((_share(n + size - 2 * min(common, n, size), n + size), -j))
+        for bound, j in sorted(bounds, reverse=True):
+            if bound < best - 1e-9:
+                break
+            score = token_set_ratio(text, " ".join(self.words[-j]), best)
+            if score >= best and score > 0 and (at is None or score > best or -j < at):
+                best, at = score, -j
+        return None if at is None else (self.at[at], best)
+
+
 def numbered_labels(labels: DataFrame) -> DataFrame:
     """isco_code, label, label_idx, key: labels in the order (isco_code, label_kind, label), which decides ties.
 
@@ -87,18 +140,15 @@ def _scored(keys: DataFrame, block: list[tuple[int, str]], cutoff: float) -> Dat
     shared = keys.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = LabelIndex(shared.value)
         for batch in batches:
             found: dict[str, list] = {"key": [], "label_idx": [], "score": []}
             for key in batch.column(0).to_pylist():
-                best, at = 0.0, None
-                for i, label in shared.value:
-                    score = token_set_ratio(key, label, max(cutoff, best))
-                    if score > best:
-                        best, at = score, i
-                if at is not None:
+                hit = index.best(key, cutoff)
+                if hit is not None:
                     found["key"].append(key)
-                    found["label_idx"].append(at)
-                    found["score"].append(best)
+                    found["label_idx"].append(hit[0])
+                    found["score"].append(hit[1])
             yield pa.RecordBatch.from_pydict(found, schema=pa.schema([("key", pa.string()), ("label_idx", pa.int32()), ("score", pa.float64())]))
 
     return keys.mapInArrow(run, "key string, label_idx int, score double")
@@ -113,7 +163,8 @@ def best_labels(titles: DataFrame, labels: DataFrame, cutoff: float = 85.0) -> D
     listed = numbered_labels(labels)
     whole = subset_matches(keys, listed).groupBy("key").agg(F.min("label_idx").alias("label_idx")).withColumn("score", F.lit(100.0))
     rows = [(r["label_idx"], r["key"]) for r in listed.select("label_idx", "key").orderBy("label_idx").toLocalIterator()]
-    rest = keys.join(whole, "key", "left_anti")
+    # few bytes but much work: a fixed number of partitions, which adaptive execution does not merge
+    rest = keys.join(whole, "key", "left_anti").repartition(int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
     blocks = [_scored(rest, rows[i : i + BLOCK], cutoff) for i in range(0, len(rows), BLOCK)]
     scored = whole.select("key", "label_idx", "score")
     if blocks:
