@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.functions import jsonshape as js
+from vacantia.runtime import cut_lineage
 
 #: Shares into which the occurrences of one identity are split for joins.
 SALTS = 16
@@ -139,7 +140,9 @@ def flat_children(trees: DataFrame) -> DataFrame:
     """board, envelope_id, job_no, child, child_no, component_no, item: one row per child object.
 
     Positions count from 0 in the arrays as delivered; ``component_no`` is -1 but for components, whose
-    ``child_no`` is their tier's. Rows are distinct; empty tables give none."""
+    ``child_no`` is their tier's. Rows are distinct; empty tables give none. The trees are read and hashed once and
+    written without the objects' own members, which this table does not show."""
+    trees = cut_lineage(_without_members(trees))
     store = salted_objects(trees)
     links = store.select(F.col("hash").alias("parent"), "salt", F.explode("links").alias("l")).select("parent", "salt", F.col("l.kind").alias("child"), F.col("l.no").alias("no"), F.col("l.hash").alias("hash"))
     edges = links.join(store.select("hash", "salt", "item"), ["hash", "salt"])
@@ -151,6 +154,16 @@ def flat_children(trees: DataFrame) -> DataFrame:
     return top.unionByName(below).distinct()
 
 
+def _without_members(trees: DataFrame) -> DataFrame:
+    def bare(n: Column, kids: Column | None = None) -> Column:
+        fields = [n["kind"].alias("kind"), n["no"].alias("no"), F.lit("").alias("own"), n["item"].alias("item")]
+        return F.struct(*fields, *([kids.alias("kids")] if kids is not None else []), n["hash"].alias("hash"))
+
+    job = F.col("job")
+    kids = F.transform(job["kids"], lambda n: bare(n, F.transform(n["kids"], bare)))
+    return trees.select("board", "envelope_id", "salt", bare(job, kids).alias("job"))
+
+
 def board_trees(notion: DataFrame, intercom: DataFrame) -> DataFrame:
     """The hashed trees of both kinds of boards."""
-    return hashed(notion_tree(notion).unionByName(intercom_tree(intercom).withColumn("jobs", F.col("jobs"))))
+    return hashed(notion_tree(notion).unionByName(intercom_tree(intercom)))
