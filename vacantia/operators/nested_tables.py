@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from vacantia.functions import jsonshape as js
 from vacantia.runtime import cut_lineage
 
+#: Bytes of the SHA-256 that identify an object: 128 bits, for which equal identities of different objects are out of reach.
+DIGEST = 16
 #: Shares into which the occurrences of one identity are split for joins.
 SALTS = 16
 
@@ -72,7 +74,7 @@ def intercom_tree(df: DataFrame) -> DataFrame:
 
 def _digest(kind: Column, own: Column, kids: Column | None = None) -> Column:
     below = F.array_join(F.transform(kids, lambda k: F.concat_ws(":", k["kind"], k["no"], F.hex(k["hash"]))), ",") if kids is not None else F.lit("")
-    return F.unhex(F.sha2(F.concat_ws("\x01", kind, own, below), 256))
+    return F.substring(F.unhex(F.sha2(F.concat_ws("\x01", kind, own, below), 256)), 1, DIGEST)
 
 
 def hashed(tree: DataFrame) -> DataFrame:
