@@ -118,7 +118,7 @@ _SHIFTS = _SEEDS.integers(0, 2**63, VALUES, dtype=np.uint64)
 
 
 def _minhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """class_id, shingle hashes -> class_id, band keys, signature of VALUES bytes."""
+    """class_id, shingle hashes, first, open -> class_id, band keys, signature of VALUES bytes, first, open."""
     for batch in batches:
         lists = batch.column(1)
         flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -137,7 +137,7 @@ def _minhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = signature.view(">i8")
         bands = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel()))
         longs = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.astype(np.int64).ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), bands, longs], names=["class_id", "bands", "signature"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), bands, longs, batch.column(2), batch.column(3)], names=["class_id", "bands", "signature", "first", "open"])
 
 
 def least_matches(step: int = 16, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -172,8 +172,8 @@ def candidates(classes: DataFrame) -> DataFrame:
     A band's key is hashed together with the company's first word, so no bucket goes beyond one company. Pairs are
     made by a join on that key, which is left to the adaptive skew join to split where a bucket is hot."""
     grams = F.flatten(F.transform(F.concat("words", F.array(F.concat(F.lit("!"), "rank"))), lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.xxhash64(F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(SHINGLE))))))
-    signed = classes.select("class_id", F.array_distinct(grams).alias("g")).filter("size(g) > 0").mapInArrow(_minhash, "class_id bigint, bands array<bigint>, signature array<bigint>")
-    signed = cut_lineage(signed.join(classes.select("class_id", F.get("company", F.lit(0)).alias("first"), "open"), "class_id"))
+    told = classes.select("class_id", F.array_distinct(grams).alias("g"), F.get("company", F.lit(0)).alias("first"), "open").filter("size(g) > 0")
+    signed = cut_lineage(told.mapInArrow(_minhash, "class_id bigint, bands array<bigint>, signature array<bigint>, first string, open boolean"))
     bands = signed.select("class_id", F.posexplode("bands").alias("i", "key"), "first", "open").select("class_id", F.xxhash64("first", "i", "key").alias("key"), "open")
     # a class without doubtful words is only ever linked to one that has some, or to its twin: those ask, all answer
     asks = bands.filter("open").select("key", F.col("class_id").alias("x"))
