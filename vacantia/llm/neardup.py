@@ -169,10 +169,11 @@ def _equal_bytes(a: Column, b: Column) -> Column:
 def candidates(classes: DataFrame) -> DataFrame:
     """a, b (class ids, a < b): pairs of classes of one company, one of them ``open`` at least, that survive the pruning.
 
-    A band's key is hashed together with the company's first word, so no bucket goes beyond one company. Pairs are
-    made by a join on that key, which is left to the adaptive skew join to split where a bucket is hot."""
+    A band's key is hashed together with the company's first word and the rank, which must be the same in any case,
+    so no bucket goes beyond them. Pairs are made by a join on that key, which is left to the adaptive skew join to
+    split where a bucket is hot."""
     grams = F.flatten(F.transform(F.concat("words", F.array(F.concat(F.lit("!"), "rank"))), lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.xxhash64(F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(SHINGLE))))))
-    told = classes.select("class_id", F.array_distinct(grams).alias("g"), F.get("company", F.lit(0)).alias("first"), "open").filter("size(g) > 0")
+    told = classes.select("class_id", F.array_distinct(grams).alias("g"), F.concat_ws(" ", F.get("company", F.lit(0)), "rank").alias("first"), "open").filter("size(g) > 0")
     signed = cut_lineage(told.mapInArrow(_minhash, "class_id bigint, bands array<bigint>, signature array<bigint>, first string, open boolean"))
     bands = signed.select("class_id", F.posexplode("bands").alias("i", "key"), "first", "open").select("class_id", F.xxhash64("first", "i", "key").alias("key"), "open")
     # a class without doubtful words is only ever linked to one that has some, or to its twin: those ask, all answer
