@@ -302,14 +302,17 @@ def history_first_last_seen(spark, d):
 
 
 def closed_postings(spark, d):
-    """P2."""
-    return dashboard.closed(history_first_last_seen(spark, d), F.lit("2025-11-01").cast("timestamp")).select("posting_id")
+    """Postings last delivered before the day of the newest snapshot."""
+    newest = table(spark, d, "posting_snapshots").agg(F.max("snapshot_date").cast("timestamp"))
+    return dashboard.closed(history_first_last_seen(spark, d), newest.scalar()).select("posting_id")
 
 
 def new_since_previous(spark, d):
     """Postings of the newest snapshot that the one before lacks."""
     rows = table(spark, d, "posting_snapshots").select("snapshot_date", "posting_id")
-    return dashboard.new_since(rows.filter("snapshot_date = '2025-11-10'"), rows.filter("snapshot_date = '2025-11-03'"), "posting_id").select("posting_id").distinct()
+    newest = rows.agg(F.max("snapshot_date")).scalar()
+    before = rows.filter(F.col("snapshot_date") < newest).agg(F.max("snapshot_date")).scalar()
+    return dashboard.new_since(rows.filter(F.col("snapshot_date") == newest), rows.filter(F.col("snapshot_date") == before), "posting_id").select("posting_id").distinct()
 
 
 def experience_level(spark, d):

@@ -146,8 +146,8 @@ SQL = {
     "redaction": r"""SELECT posting_id, regexp_replace(posting_url || '&app_id=abc&APP_KEY=x''y', '(?i)\b(app_id|app_key|api_key|api-key)=[^&\s''"]+', '\1=REDACTED', 'g') AS url FROM postings""",
     "cube_decode": "SELECT country, substr(isco_code, 1, 1) AS major, CAST(year(posted_at) AS VARCHAR) AS year, count(*) AS n FROM postings WHERE isco_code IS NOT NULL GROUP BY ALL",
     "history_first_last_seen": "SELECT posting_id, min(delivered_at) AS first_seen_at, max(delivered_at) AS last_seen_at, max(struct_pack(d := delivered_at, t := title, c := country)).t AS title, max(struct_pack(d := delivered_at, t := title, c := country)).c AS country FROM posting_snapshots WHERE posting_id IS NOT NULL AND delivered_at IS NOT NULL GROUP BY 1",
-    "closed_postings": "SELECT posting_id FROM posting_snapshots WHERE posting_id IS NOT NULL GROUP BY 1 HAVING max(delivered_at) < TIMESTAMPTZ '2025-11-01 00:00:00+00'",
-    "new_since_previous": "SELECT DISTINCT posting_id FROM posting_snapshots WHERE snapshot_date = '2025-11-10' AND posting_id NOT IN (SELECT posting_id FROM posting_snapshots WHERE snapshot_date = '2025-11-03')",
+    "closed_postings": "SELECT posting_id FROM posting_snapshots WHERE posting_id IS NOT NULL GROUP BY 1 HAVING max(delivered_at) < (SELECT CAST(max(snapshot_date) || ' 00:00:00+00' AS TIMESTAMPTZ) FROM posting_snapshots)",
+    "new_since_previous": "WITH days AS (SELECT DISTINCT snapshot_date AS day FROM posting_snapshots ORDER BY 1 DESC LIMIT 2) SELECT DISTINCT posting_id FROM posting_snapshots WHERE snapshot_date = (SELECT max(day) FROM days) AND posting_id NOT IN (SELECT posting_id FROM posting_snapshots WHERE snapshot_date = (SELECT min(day) FROM days))",
     "experience_level": f"SELECT posting_id, {_LEVELS} AS experience_level, {_HOW} AS experience_method FROM postings",
     "work_arrangement": f"SELECT posting_id, {_ARRANGED} AS work_arrangement FROM postings",
     "skill_pay": "WITH s AS (SELECT unnest([" + _q(market.SKILLS) + "]) AS skill) SELECT skill, quantile_cont(salary_annual_eur_p50, 0.5) AS p50, count(*) AS n FROM postings, s WHERE salary_annual_eur_p50 IS NOT NULL AND regexp_matches(lower(raw_payload), '(^|[^\\p{L}\\p{N}])' || skill || '($|[^\\p{L}\\p{N}])') GROUP BY 1",
