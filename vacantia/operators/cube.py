@@ -26,8 +26,7 @@ def jsonstat_cells(df: DataFrame, text: str) -> DataFrame:
     Values come as a list or as an object of flat position to value; null values, positions beyond the cube and
     documents that are no JSON-stat give no cells. The flat position is row-major: the last dimension runs fastest."""
     keep = [c for c in df.columns if c != text]
-    x = once(df, "_t", F.to_json(F.struct(js.parse(F.col(text)).alias("v")))).drop(text)
-    x = x.withColumn("_v", js.member(F.try_parse_json("_t"), "v"))
+    x = once(df, "_v", js.parse(F.col(text))).drop(text)
     ids, sizes = F.try_variant_get("_v", "$.id", "array<string>"), F.try_variant_get("_v", "$.size", "array<int>")
     dims = F.try_variant_get("_v", "$.dimension", "map<string,variant>")
     x = once(x, "_d", F.struct(ids.alias("ids"), sizes.alias("sizes"), F.transform(ids, lambda i: _codes(F.try_element_at(dims, i))).alias("codes")))
@@ -50,8 +49,7 @@ def sdmx_observations(df: DataFrame, text: str) -> DataFrame:
     The key ``i:j:k`` holds positions in the lists of the dimensions' values; an observation is its value followed by
     positions in the lists of attributes' values. Null values and positions without a code give null codes or no rows."""
     keep = [c for c in df.columns if c != text]
-    x = once(df, "_t", F.to_json(F.struct(js.parse(F.col(text)).alias("v")))).drop(text)
-    x = x.withColumn("_v", js.member(F.try_parse_json("_t"), "v"))
+    x = once(df, "_v", js.parse(F.col(text))).drop(text)
     root = F.coalesce(js.member(F.col("_v"), "data"), F.col("_v"))
     first = F.get(js.items(js.member(root, "structures")), F.lit(0))
     structure = F.coalesce(first, js.member(root, "structure"))

@@ -91,8 +91,7 @@ def stated(postings: DataFrame) -> DataFrame:
     JSON payloads are read as JSON (texts decoded), XML payloads by their tags. Null or unreadable payloads say
     nothing."""
     raw = F.col("raw_payload")
-    x = once(postings, "_j", F.when(~raw.startswith("<"), F.to_json(F.struct(js.parse(raw).alias("v")))))
-    x = x.withColumn("_v", js.member(F.try_parse_json("_j"), "v"))
+    x = once(postings, "_v", F.when(~raw.startswith("<"), js.parse(raw)))
     members = F.try_variant_get("_v", "$", "map<string,variant>")
     texts = F.array_join(F.map_values(F.transform_values(F.map_filter(members, lambda k, _: ~k.isin("id", "compensation")), lambda _, v: F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("")))), " ")
     x = once(x, "_text", F.regexp_replace(F.coalesce(texts, F.regexp_replace(raw, r"(?s)<id>.*?</id>|<compensation>.*?</compensation>", " ")), r"<[^>]*>", " "))
@@ -108,7 +107,7 @@ def stated(postings: DataFrame) -> DataFrame:
     x = once(x, "_p", F.struct(F.lower(field("interval")).alias("interval"), F.upper(F.trim(field("currencyCode"))).alias("currency"), field("minValue").try_cast("double").alias("low"), field("maxValue").try_cast("double").alias("high"), F.lower(F.trim(field("valueUnit"))).alias("unit")))
     x = once(x, "_t", F.split(F.regexp_replace("_text", PATTERN, _TEMPLATE), _SEP))
     part = {k: F.nullif(F.when(F.get("_t", F.lit(0)) == "", F.get("_t", F.lit(n + 1))), F.lit("")) for n, k in enumerate(_KEYS)}
-    return once(x, "_s", F.struct(*[c.alias(k) for k, c in part.items()])).drop("_j", "_v", "_t", "_c", "_text")
+    return once(x, "_s", F.struct(*[c.alias(k) for k, c in part.items()])).drop("_v", "_t", "_c", "_text")
 
 
 def amounts(postings: DataFrame, rates: DataFrame) -> DataFrame:
