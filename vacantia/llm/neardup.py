@@ -41,9 +41,9 @@ SHINGLE, VALUES, BANDS, ROWS = 3, 128, 32, 4
 THRESHOLD, TOLERANCE = 0.6, 0.001
 #: What marks a word that may be a slip of several, or is not near enough to one.
 DOUBT = "?"
-#: How many times more frequent a word must be for a similar one to count as its slip (names of companies, which are
-#: made up and far apart, less), and postings a pair of words needs to be split.
-RATIO, NAME_RATIO, OFTEN = 8, 3, 8
+#: How many times more frequent a word must be for a similar one to count as its slip (names of companies less at one
+#: edit and more at two), and postings that neighbouring words need to be told apart when written together.
+RATIO, NAME_RATIO, FAR_RATIO, OFTEN = 8, 3, 20, 8
 
 
 def typed_words(postings: DataFrame) -> DataFrame:
@@ -80,10 +80,12 @@ def corrections(typed: DataFrame) -> DataFrame:
     ratio = F.when(F.col("kind") == "c", NAME_RATIO).otherwise(RATIO)
     left = counted.filter("length(word) >= 4").selectExpr("kind", "word", "n", f"explode({_deletions('word', times)}) AS v")
     right = targets.filter((F.col("n") >= ratio) & (F.length("word") >= 4)).selectExpr("kind", "word AS target", "n AS often", "read", f"explode({_deletions('word', times)}) AS v")
-    met = left.join(right, ["kind", "v"]).filter(F.col("often") >= F.when(F.col("word") == F.col("target"), 1).otherwise(ratio) * F.col("n")).filter("word <> read").select("kind", "word", "target", "often", "read").distinct()
+    met = left.join(right, ["kind", "v"]).filter(F.col("often") >= F.when(F.col("word") == F.col("target"), 1).otherwise(ratio) * F.col("n")).filter("word <> read").select("kind", "word", "n", "target", "often", "read").distinct()
     # two letters swapped are one edit, as are those that levenshtein counts as one
     swapped = "length(word) = length(target) AND array_sort(split(word, '')) = array_sort(split(target, ''))"
     near = met.withColumn("d", F.levenshtein("word", "target", 2)).filter("d >= 0").withColumn("d", F.expr(f"IF({swapped}, 1, d)")).filter("d <= 1 OR length(word) >= 7")
+    # made-up names may be two edits apart and still two names
+    near = near.filter((F.col("d") <= 1) | (F.col("kind") != "c") | (F.col("often") >= FAR_RATIO * F.col("n")))
     best = near.groupBy("kind", "word").agg(F.sort_array(F.collect_set(F.struct("d", (-F.col("often")).alias("often"), "read"))).alias("l"))
     # a title's slip that is as near to two words, or two edits from one, stays as it is, marked, for the comparison of pairs to judge
     open_slip = (F.col("kind") == "w") & F.expr("l[0].d = 2 OR (size(l) > 1 AND l[1].d = l[0].d)")
