@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -65,12 +67,19 @@ def without_duplicates(df: DataFrame, *order: Column) -> DataFrame:
     return keep_first(df, text.dedupe_key(F.col("posting_url"), F.col("title"), F.col("company"), F.col("country")), *order)
 
 
-def tagged(df: DataFrame, labels: DataFrame, cutoff: float = 85.0) -> DataFrame:
-    """The occupation of each title by token-set similarity: code, method ('fuzzy' or 'none') and score (0 to 1)."""
-    best = similarity.best_labels(df.select("title").distinct(), labels, cutoff)
+def tagged(df: DataFrame, labels: DataFrame, cutoff: float = 85.0, classify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The occupation of each title by token-set similarity: code, method ('fuzzy' or 'none') and score (0 to 1).
+
+    ``classify``, if given, is asked for the titles that no label fits: it takes a frame of distinct titles and gives
+    title, isco_code and confidence (0 to 1) of those it knows, which count as method 'llm'."""
+    titles = df.select("title").distinct()
+    best = similarity.best_labels(titles, labels, cutoff).select("title", "isco_code", F.lit("fuzzy").alias("method"), F.round(F.col("score") / 100, 4).alias("score"))
+    if classify is not None:
+        said = classify(titles.join(best, "title", "left_anti"))
+        best = best.unionByName(said.select("title", "isco_code", F.lit("llm").alias("method"), F.round(F.col("confidence").cast("double"), 4).alias("score")))
     rest = df.drop("isco_code", "isco_match_method", "isco_match_score")
-    x = rest.join(best.withColumnRenamed("title", "_t"), F.col("title").eqNullSafe(F.col("_t")), "left")
-    return x.select(*rest.columns, "isco_code", F.when(F.col("isco_code").isNotNull(), "fuzzy").otherwise("none").alias("isco_match_method"), F.round(F.col("score") / 100, 4).alias("isco_match_score"))
+    x = rest.join(best.withColumnRenamed("title", "_t"), F.col("title") == F.col("_t"), "left")
+    return x.select(*rest.columns, "isco_code", F.coalesce("method", F.lit("none")).alias("isco_match_method"), F.col("score").alias("isco_match_score"))
 
 
 def match_rate(df: DataFrame) -> DataFrame:
