@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -53,11 +54,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """``df`` written to the reliable checkpoint folder and read again.
 
-    The folder is the session's ``spark.checkpoint.dir``, which all executors share; a temporary one is
-    set only where the session names none (tests on one machine)."""
+    The folder is the session's ``spark.checkpoint.dir``, which all executors share. Where the session names
+    none, a temporary one is set in local mode (tests on one machine); on a cluster that is an error."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="vacantia-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="vacantia-"))
     return df.checkpoint(eager)
 
 
