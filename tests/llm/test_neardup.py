@@ -80,6 +80,17 @@ def test_edges(spark):
     assert set(classes) == set("abcfgh") and classes["a"]["class_id"] == classes["c"]["class_id"]
 
 
+def test_frequent_slip_is_doubtful_whatever_the_size(spark):
+    n = {"manager": 1332, "maaeer": 20, "data": 900, "dataengr": 30, "water": 380, "waste": 384, "actuary": 1568, "aktuar": 195, "lonely": 3, "marked?": 50}
+    for size in (1, 10):
+        words = spark.createDataFrame([(w, k if w == "lonely" else size * k) for w, k in n.items()], "word string, n long")
+        assert {r[0] for r in neardup.doubtful(words).collect()} == {"maaeer", "dataengr", "lonely", "marked?"}
+    titles = [f"{d} {a}, {t}" for d in DOMAINS for a in ACTS for t in TEAMS]
+    rows = [(f"a{i:03d}", f"Manager - {x}", "Gritiholm Homes", None, 1, 1) for i, x in enumerate(titles)]
+    rows += [(f"b{i:03d}", f"Maaeer - {titles[i]}", "Gritiholm Homes", None, 1, 1) for i in range(0, 60, 12)]
+    assert found(spark, rows) == {(f"a{i:03d}", f"b{i:03d}") for i in range(0, 60, 12)}
+
+
 def test_pruning_rule_follows_the_posterior():
     least = neardup.least_matches(16, 0.6, 0.001)
     assert least == sorted(least) and len(least) == neardup.VALUES // 16

@@ -44,6 +44,8 @@ DOUBT = "?"
 #: How many times more frequent a word must be for a similar one to count as its slip (names of companies less at one
 #: edit and more at two), and postings that neighbouring words need to be told apart when written together.
 RATIO, NAME_RATIO, FAR_RATIO, OFTEN = 8, 3, 20, 8
+#: Classes up to which a title's word is doubtful without any word near it.
+RARE = 3
 
 
 def typed_words(postings: DataFrame) -> DataFrame:
@@ -197,8 +199,7 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose companies, ranks and words are the same but for a doubtful rest within a few edits.
 
     ``words`` must agree; what is left on both sides must be within half its letters (five edits at most) of each
-    other or of the same letters (words written together), and on one side consist of words so rare that they
-    are no words of their own."""
+    other or of the same letters (words written together), and on one side consist of doubtful words."""
     cols = ["company", "rank", "words", "rare"]
     left, right = (classes.select(F.col("class_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols]) for c in ("a", "b"))
     x = pairs.join(left, "a").join(right, "b").filter("rank_a = rank_b")
@@ -211,6 +212,26 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return x.filter(f"{u} = {v} OR (size(u) > 0 AND size(v) > 0 AND {close} AND (size(array_except(u, rare_a)) = 0 OR size(array_except(v, rare_b)) = 0))").select("a", "b")
 
 
+def doubtful(words: DataFrame) -> DataFrame:
+    """word: of ``words`` (word, n: classes that have it) those marked with ``DOUBT``, those in ``RARE`` classes at most, and those near or containing a word of far more classes.
+
+    Near is one edit (or the same letters) from a word of ``RATIO`` times as many classes, or two (of seven letters
+    and more also a swap and an edit) from one of ``FAR_RATIO`` times as many, or beginning or ending with such a word
+    and three letters more (words written together). Only ratios count, so that a slip is
+    as doubtful in a large table as in a small one, and Water and Waste are two words in either."""
+    plain = words.filter(~F.col("word").endswith(DOUBT))
+    long = plain.filter("length(word) >= 4").selectExpr("word", "n", f"explode({_deletions('word', '2')}) AS v")
+    left, right = long.filter(F.col("n") > RARE), long.filter(F.col("n") > RATIO * RARE).selectExpr("word AS target", "n AS often", "v")
+    met = left.join(right, "v").filter(F.col("often") >= RATIO * F.col("n")).select("word", "n", "target", "often").distinct()
+    d = F.expr("IF(array_sort(split(word, '')) = array_sort(split(target, '')), 1, levenshtein(word, target))")
+    far = (F.col("often") >= FAR_RATIO * F.col("n")) & (d <= F.when(F.length("word") >= 7, 3).otherwise(2))
+    ends = "flatten(transform(sequence(4, length(word) - 3), i -> array(substring(word, 1, i), substring(word, -i))))"
+    parts = plain.filter((F.length("word") >= 7) & (F.col("n") > RARE)).selectExpr("word", "n", f"explode({ends}) AS target")
+    together = parts.join(plain.select(F.col("word").alias("target"), F.col("n").alias("often")), "target").filter(F.col("often") >= FAR_RATIO * F.col("n"))
+    found = met.filter((d <= 1) | far).select("word").unionByName(together.select("word"))
+    return words.filter(F.col("word").endswith(DOUBT) | (F.col("n") <= RARE)).select("word").unionByName(found).distinct()
+
+
 def openings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (posting_id, class_id, town) and links (a, b) between different classes that are the same opening."""
     typed = cut_lineage(typed_words(postings.select("posting_id", "title", "company", "location_raw")))
@@ -218,14 +239,13 @@ def openings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = F.xxhash64(F.array_join("company", " "), "rank", F.array_join("words", " "))
     rows = cut_lineage(rows.withColumn("class_id", key))
     classes = rows.groupBy("class_id").agg(F.first("company").alias("company"), F.first("rank").alias("rank"), F.first("words").alias("words"))
-    # words in hardly any class are doubtful
-    total = rows.count()
-    seen = rows.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).filter((F.col("n") <= 3 + total // 100_000) | F.col("word").endswith(DOUBT)).select("word")
-    doubtful = classes.select("class_id", F.explode("words").alias("word")).join(seen, "word").groupBy("class_id").agg(F.collect_set("word").alias("rare"))
+    each = classes.select("class_id", F.explode("words").alias("word"))
+    seen = doubtful(cut_lineage(each.groupBy("word").agg(F.count("*").alias("n"))))
+    rare = each.join(seen, "word").groupBy("class_id").agg(F.collect_set("word").alias("rare"))
     # twins differ in the company's further words only
     twin = F.xxhash64(F.get("company", F.lit(0)), "rank", F.array_join("words", " "))
     twins = classes.groupBy(twin.alias("twin")).agg(F.count("*").alias("n_twins")).filter("n_twins > 1")
-    x = classes.join(doubtful, "class_id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>"))).withColumn("twin", twin)
+    x = classes.join(rare, "class_id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>"))).withColumn("twin", twin)
     x = x.join(twins, "twin", "left").withColumn("open", (F.size("rare") > 0) | F.col("n_twins").isNotNull())
     classes = cut_lineage(x.drop("twin", "n_twins"))
     links = cut_lineage(_verified(candidates(classes), classes))
