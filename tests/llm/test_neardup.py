@@ -91,6 +91,13 @@ def test_frequent_slip_is_doubtful_whatever_the_size(spark):
     assert found(spark, rows) == {(f"a{i:03d}", f"b{i:03d}") for i in range(0, 60, 12)}
 
 
+def test_slips_of_company_names(spark):
+    titles = [f"{j} - {d} {a}, {t}" for j in ("Nurse", "Baker") for d in DOMAINS[:3] for a in ACTS[:3] for t in TEAMS[:2]]
+    rows = [(f"a{i:02d}", x, "Gritiholm Homes", None, 1, 1) for i, x in enumerate(titles[:10])]
+    rows += [("b", titles[3], "Grtihulm Homes", None, 1, 1), ("c", titles[4], "Gritihulme Homes", None, 1, 1), ("d", titles[5], "Gritihulme Foods", None, 1, 1), ("e", titles[6], "Gritihulme", None, 1, 1), ("f", titles[20], "Lumnemint Foods", None, 1, 1), ("g", titles[20], "Lumneimnt Foods", None, 1, 1)]
+    assert found(spark, rows) >= {("a04", "c"), ("a06", "e"), ("f", "g")} and not any("d" in p for p in found(spark, rows))
+
+
 def test_pruning_rule_follows_the_posterior():
     least = neardup.least_matches(16, 0.6, 0.001)
     assert least == sorted(least) and len(least) == neardup.VALUES // 16

@@ -46,6 +46,8 @@ DOUBT = "?"
 RATIO, NAME_RATIO, FAR_RATIO, OFTEN = 8, 3, 20, 8
 #: Classes up to which a title's word is doubtful without any word near it.
 RARE = 3
+#: SQL: whether two names of companies are so near that one may be a slip of the other.
+NEAR_NAME = "(levenshtein({0}, {1}) <= IF(least(length({0}), length({1})) >= 7, 2, 1) OR (array_sort(split({0}, '')) = array_sort(split({1}, ''))))"
 
 
 def typed_words(postings: DataFrame) -> DataFrame:
@@ -170,18 +172,35 @@ def _equal_bytes(a: Column, b: Column) -> Column:
     return 8 - F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
 
 
+def near_names(classes: DataFrame) -> DataFrame:
+    """name, like: companies' first words that may be slips, and the near names that they may be slips of.
+
+    A name of ``RARE`` classes at most may be one of any near name of as many, other names only of one of
+    ``NAME_RATIO`` (``FAR_RATIO`` at two edits) times as many: made-up names that are near are mostly two names."""
+    names = classes.groupBy(F.get("company", F.lit(0)).alias("name")).agg(F.count("*").alias("n")).filter("length(name) >= 4")
+    keys = cut_lineage(names.selectExpr("name", "n", f"explode({_deletions('name', '2')}) AS v"))
+    met = keys.join(keys.selectExpr("name AS like", "n AS often", "v"), "v").filter("name <> like AND often >= n").select("name", "like", "n", "often").distinct()
+    ratio = F.when(F.expr("levenshtein(name, like) = 1 OR array_sort(split(name, '')) = array_sort(split(like, ''))"), NAME_RATIO).otherwise(FAR_RATIO)
+    return met.filter(NEAR_NAME.format("name", "like")).filter((F.col("n") <= RARE) | (F.col("often") >= ratio * F.col("n"))).select("name", "like")
+
+
 def candidates(classes: DataFrame) -> DataFrame:
     """a, b (class ids, a < b): pairs of classes of one company, one of them ``open`` at least, that survive the pruning.
 
+    Classes whose company's name may be a slip of another also ask under that other name.
+
     A band's key is hashed together with the company's first word and the rank, which must be the same in any case,
     so no bucket goes beyond them. Pairs are made by a join on that key, which is left to the adaptive skew join to
     split where a bucket is hot."""
     grams = F.flatten(F.transform(F.concat("words", F.array(F.concat(F.lit("!"), "rank"))), lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.xxhash64(F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(SHINGLE))))))
     told = classes.select("class_id", F.array_distinct(grams).alias("g"), F.concat_ws(" ", F.get("company", F.lit(0)), "rank").alias("first"), "open").filter("size(g) > 0")
+    likes = near_names(classes)
+    other = classes.select("class_id", F.get("company", F.lit(0)).alias("name"), "rank").join(likes, "name").select("class_id", F.concat_ws(" ", "like", "rank").alias("first"))
     signed = cut_lineage(told.mapInArrow(_minhash, "class_id bigint, bands array<bigint>, signature array<bigint>, first string, open boolean"))
-    bands = signed.select("class_id", F.posexplode("bands").alias("i", "key"), "first", "open").select("class_id", F.xxhash64("first", "i", "key").alias("key"), "open")
+    keyed = lambda x: x.select("class_id", F.posexplode("bands").alias("i", "key"), "first", "open").select("class_id", F.xxhash64("first", "i", "key").alias("key"), "open")
+    bands = keyed(signed)
     # a class without doubtful words is only ever linked to one that has some, or to its twin: those ask, all answer
-    asks = bands.filter("open").select("key", F.col("class_id").alias("x"))
+    asks = bands.filter("open").unionByName(keyed(signed.drop("first").join(other, "class_id"))).select("key", F.col("class_id").alias("x"))
     met = asks.join(bands.select("key", F.col("class_id").alias("y")), "key").filter("x <> y")
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     left, right = (signed.select(F.col("class_id").alias(c), F.col("signature").alias(f"s{c}")) for c in ("a", "b"))
@@ -204,7 +223,10 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     left, right = (classes.select(F.col("class_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols]) for c in ("a", "b"))
     x = pairs.join(left, "a").join(right, "b").filter("rank_a = rank_b")
     second = "(size(company_a) < 2 OR size(company_b) < 2 OR get(company_a, 1) = get(company_b, 1) OR levenshtein(get(company_a, 1), get(company_b, 1)) <= 2)"
-    x = x.filter(f"get(company_a, 0) = get(company_b, 0) AND {second}")
+    first = [f"get(company_{c}, 0)" for c in "ab"]
+    x = x.filter(f"({first[0]} = {first[1]} OR {NEAR_NAME.format(*first)}) AND {second}")
+    # names that are only near: the further words must be the same, or else the title's words
+    x = x.filter(f"{first[0]} = {first[1]} OR (size(company_a) > 1 AND slice(company_a, 2, 99) = slice(company_b, 2, 99)) OR (least(size(company_a), size(company_b)) = 1 AND words_a = words_b)")
     x = x.selectExpr("a", "b", "array_except(words_a, words_b) AS u", "array_except(words_b, words_a) AS v", "rare_a", "rare_b")
     u, v = (f"replace(array_join({c}, ''), '{DOUBT}', '')" for c in "uv")
     letters = "array_join(array_sort(split({}, '')), '')"
