@@ -98,6 +98,14 @@ def test_slips_of_company_names(spark):
     assert found(spark, rows) >= {("a04", "c"), ("a06", "e"), ("f", "g")} and not any("d" in p for p in found(spark, rows))
 
 
+def test_frequent_words_written_together(spark):
+    titles = [f"{d} {a}, {t}" for d in DOMAINS for a in ACTS for t in TEAMS]
+    rows = [(f"a{i:03d}", f"Webdeveloper - {x}", "Gritiholm Homes", None, 1, 1) for i, x in enumerate(titles)]
+    rows += [(f"b{i:03d}", f"Web Developer - {titles[i]}", "Gritiholm Homes", None, 1, 1) for i in range(0, 60, 6)]
+    rows += [(f"c{i:03d}", f"Developer, Web - {titles[i]}", "Gritiholm Homes", None, 1, 1) for i in range(3, 60, 6)]
+    assert found(spark, rows) == {(f"a{i:03d}", f"{'c' if i % 2 else 'b'}{i:03d}") for i in range(0, 60, 3)}
+
+
 def test_pruning_rule_follows_the_posterior():
     least = neardup.least_matches(16, 0.6, 0.001)
     assert least == sorted(least) and len(least) == neardup.VALUES // 16

@@ -199,7 +199,7 @@ def candidates(classes: DataFrame) -> DataFrame:
     signed = cut_lineage(told.mapInArrow(_minhash, "class_id bigint, bands array<bigint>, signature array<bigint>, first string, open boolean"))
     keyed = lambda x: x.select("class_id", F.posexplode("bands").alias("i", "key"), "first", "open").select("class_id", F.xxhash64("first", "i", "key").alias("key"), "open")
     bands = keyed(signed)
-    # a class without doubtful words is only ever linked to one that has some, or to its twin: those ask, all answer
+    # a class without doubtful words is only ever linked to one that has some (those ask, all answer) or to one of the same letters
     asks = bands.filter("open").unionByName(keyed(signed.drop("first").join(other, "class_id"))).select("key", F.col("class_id").alias("x"))
     met = asks.join(bands.select("key", F.col("class_id").alias("y")), "key").filter("x <> y")
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -214,6 +214,13 @@ def candidates(classes: DataFrame) -> DataFrame:
     return alive.select("a", "b")
 
 
+def same_letters(classes: DataFrame) -> DataFrame:
+    """a, b (class ids, a < b): pairs of classes of one company's first word and rank whose words have the same letters, as words written together have."""
+    letters = F.array_join(F.array_sort(F.split(F.replace(F.array_join("words", ""), F.lit(DOUBT), F.lit("")), "")), "")
+    keyed = cut_lineage(classes.select("class_id", F.xxhash64(F.get("company", F.lit(0)), "rank", letters).alias("key")))
+    return keyed.select("key", F.col("class_id").alias("a")).join(keyed.select("key", F.col("class_id").alias("b")), "key").filter("a < b").select("a", "b")
+
+
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose companies, ranks and words are the same but for a doubtful rest within a few edits.
 
@@ -231,7 +238,10 @@ def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     u, v = (f"replace(array_join({c}, ''), '{DOUBT}', '')" for c in "uv")
     letters = "array_join(array_sort(split({}, '')), '')"
     close = f"(levenshtein({u}, {v}) <= greatest(2, least(5, length({u}) DIV 2)) OR {letters.format(u)} = {letters.format(v)})"
-    return x.filter(f"{u} = {v} OR (size(u) > 0 AND size(v) > 0 AND {close} AND (size(array_except(u, rare_a)) = 0 OR size(array_except(v, rare_b)) = 0))").select("a", "b")
+    # words written together, in whatever order
+    one = "(size({0}) = 1 AND forall({1}, w -> contains(get({0}, 0), replace(w, '?', ''))))"
+    together = f"({letters.format(u)} = {letters.format(v)} AND ({one.format('u', 'v')} OR {one.format('v', 'u')}))"
+    return x.filter(f"{u} = {v} OR {together} OR (size(u) > 0 AND size(v) > 0 AND {close} AND (size(array_except(u, rare_a)) = 0 OR size(array_except(v, rare_b)) = 0))").select("a", "b")
 
 
 def doubtful(words: DataFrame) -> DataFrame:
@@ -264,13 +274,9 @@ def openings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = classes.select("class_id", F.explode("words").alias("word"))
     seen = doubtful(cut_lineage(each.groupBy("word").agg(F.count("*").alias("n"))))
     rare = each.join(seen, "word").groupBy("class_id").agg(F.collect_set("word").alias("rare"))
-    # twins differ in the company's further words only
-    twin = F.xxhash64(F.get("company", F.lit(0)), "rank", F.array_join("words", " "))
-    twins = classes.groupBy(twin.alias("twin")).agg(F.count("*").alias("n_twins")).filter("n_twins > 1")
-    x = classes.join(rare, "class_id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>"))).withColumn("twin", twin)
-    x = x.join(twins, "twin", "left").withColumn("open", (F.size("rare") > 0) | F.col("n_twins").isNotNull())
-    classes = cut_lineage(x.drop("twin", "n_twins"))
-    links = cut_lineage(_verified(candidates(classes), classes))
+    x = classes.join(rare, "class_id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
+    classes = cut_lineage(x.withColumn("open", F.size("rare") > 0))
+    links = cut_lineage(_verified(candidates(classes).unionByName(same_letters(classes)).distinct(), classes))
     return rows.select("posting_id", "class_id", "town").distinct(), links
 
 
