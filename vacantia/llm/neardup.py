@@ -1,15 +1,18 @@
 """Problem 1: the same opening advertised again with small differences.
 
-Method: Bayesian candidate pruning. Openings of one company whose MinHash values agree in a band become
-candidates; their signatures are compared piece by piece, and a pair is dropped as soon as the posterior
-probability that its similarity reaches ``THRESHOLD`` falls under ``TOLERANCE``; the rest is verified exactly,
-word by word.
-
-Before that, texts are brought to words (abbreviations written out, advertising and legal forms left out), and
-slips of spelling are put right by the corpus itself: a word is read as a far more frequent one of the same kind
-that is within two edits (an edit also being a swap), or as two or three words that are often neighbours and were
-written together. The number of postings tells slips from words, so that Water and Waste, two edits apart, stay
-two words. Postings alike in company, seniority and words make one class; classes, not postings, are compared.
+Method: Bayesian candidate pruning. Wordings of one company whose MinHash values agree in a band become candidates;
+their signatures are compared piece by piece, and a pair is dropped as soon as the posterior probability that its
+similarity reaches ``THRESHOLD`` falls under ``TOLERANCE``; of the rest the similarity is computed exactly, and the
+words that differ are looked at.
+
+Every distinct wording (company, rank, words of the title) is a node that asks. Representatives answer: the wordings
+that slips of spelling are read as. A slip is told by the corpus, by ratios alone: a word is read as a far more
+frequent one of the same kind within two edits (an edit also being a swap), or as two or three neighbours written
+together. Water and Waste, two edits apart and equally frequent, stay two words. A wording that reaches its
+representative through bands, pruning and similarity is its member, and members are never compared with each
+other, so a hot opening costs a link per wording and not one per pair of them. Representatives that are alike but for words
+one edit apart (Colour and Color), letters in another order (Data Base and Database) or doubtful slips are linked.
+No count or size decides anything, so tables of any size are treated alike.
 
 ``SHINGLE`` letters of a word make a shingle. TESTDATA.md asks for the same company, occupation, seniority,
 subject, team and town, not for shingles of five words, so the threshold is one on letters of the title's words.
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.llm.labelmatch import SENIORITY, plain_sql, words_sql
-from vacantia.runtime import cut_lineage, once
+from vacantia.runtime import cut_lineage, once, ship_package
 
 # Words of advertising, of contracts and of places' surroundings, legal forms and countries.
 ADVERTS = ("hiring", "now", "new", "repost", "urgent", "ref", "full", "part", "time", "permanent", "temporary", "month", "contract", "hybrid", "remote", "apply", "team", "the", "and")
@@ -36,32 +39,29 @@ PLACES = ("greater", "area", "remote", "hybrid", "city", "of", "near", "ireland"
 RANKS = {"senior": ("senior", "sr", "snr"), "junior": ("junior", "jr", "jnr"), "lead": ("lead",), "graduate": ("graduate", "grad"), "principal": ("principal", "princ")}
 
 #: Letters of a shingle; MinHash values of a signature (8 bits each); bands and values of a band.
-SHINGLE, VALUES, BANDS, ROWS = 3, 128, 32, 4
-#: Similarity of title words from which pairs are verified, and the posterior probability under which they are dropped.
-THRESHOLD, TOLERANCE = 0.6, 0.001
+SHINGLE, VALUES, BANDS, ROWS = 3, 80, 20, 4
+#: Similarity of title words from which wordings may be the same, and the posterior probability under which pairs are dropped.
+THRESHOLD, TOLERANCE = 0.5, 0.001
 #: What marks a word that may be a slip of several, or is not near enough to one.
 DOUBT = "?"
 #: How many times more frequent a word must be for a similar one to count as its slip (names of companies less at one
-#: edit and more at two), and postings that neighbouring words need to be told apart when written together.
-RATIO, NAME_RATIO, FAR_RATIO, OFTEN = 8, 3, 20, 8
-#: Classes up to which a title's word is doubtful without any word near it.
-RARE = 3
+#: edit and more at two).
+RATIO, NAME_RATIO, FAR_RATIO = 8, 3, 20
+#: Fewest letters of words of which one edit makes no other word.
+LONG = 5
 #: SQL: whether two names of companies are so near that one may be a slip of the other.
 NEAR_NAME = "(levenshtein({0}, {1}) <= IF(least(length({0}), length({1})) >= 7, 2, 1) OR (array_sort(split({0}, '')) = array_sort(split({1}, ''))))"
 
 
 def typed_words(postings: DataFrame) -> DataFrame:
-    """posting_id, rid (a number of its own) and the words of title, company and town, and the rank, of each distinct typed posting with a company."""
-    distinct = postings.filter("posting_id IS NOT NULL AND company IS NOT NULL").select("posting_id", F.coalesce("title", F.lit("")).alias("title"), "company", F.coalesce("location_raw", F.lit("")).alias("place")).distinct()
+    """posting_id, rid (a number of its own) and the words of title, company and town, and the rank, of each typed posting with a company."""
+    live = postings.filter("posting_id IS NOT NULL AND company IS NOT NULL").select("posting_id", F.coalesce("title", F.lit("")).alias("title"), "company", F.coalesce("location_raw", F.lit("")).alias("place"))
     parts = rf"split({plain_sql('title')}, '[\\s ]+[-–—]+|[-–—]+[\\s ]+|[–—:|/,;()\\[\\]{{}}#*0-9]+')"
-    every = f"transform({parts}, p -> {words_sql('p', ADVERTS)})"
+    x = once(live.withColumn("rid", F.monotonically_increasing_id()), "p", F.expr(f"transform({parts}, p -> {words_sql('p', ADVERTS)})"))
     ranks = " ".join(f"WHEN arrays_overlap(w, array({', '.join(repr(x) for x in names)})) THEN '{rank}'" for rank, names in RANKS.items())
-    x = distinct.withColumn("rid", F.monotonically_increasing_id())
-    x = x.selectExpr("posting_id", "rid", f"{every} AS phrases", f"array_distinct({words_sql(plain_sql('company'), LEGAL)}) AS company", f"array_distinct({words_sql(plain_sql('place'), PLACES)}) AS town")
-    x = x.selectExpr("*", "flatten(phrases) AS w")
-    short = lambda c: f"filter({c}, w -> length(w) > 1)"
-    rankless = f"transform(phrases, p -> filter(p, w -> length(w) > 1 AND w NOT IN ({', '.join(repr(s) for s in SENIORITY)})))"
-    return x.selectExpr("posting_id", "rid", f"CASE {ranks} ELSE '' END AS rank", f"{rankless} AS phrases", f"{short('company')} AS company", f"filter(town, w -> length(w) > 2) AS town").filter("size(company) > 0")
+    x = x.selectExpr("posting_id", "rid", "p", "flatten(p) AS w", f"array_distinct({words_sql(plain_sql('company'), LEGAL)}) AS c", f"array_distinct({words_sql(plain_sql('place'), PLACES)}) AS t")
+    rankless = f"filter(transform(p, p -> filter(p, w -> length(w) > 1 AND w NOT IN ({', '.join(repr(s) for s in SENIORITY)}))), p -> size(p) > 0)"
+    return x.selectExpr("posting_id", "rid", f"CASE {ranks} ELSE '' END AS rank", f"{rankless} AS phrases", "filter(c, w -> length(w) > 1) AS company", "filter(t, w -> length(w) > 2) AS town").filter("size(company) > 0")
 
 
 def _deletions(word: str, times: str) -> str:
@@ -78,13 +78,15 @@ def corrections(typed: DataFrame) -> DataFrame:
     counted = words.groupBy("kind", "word").agg(F.count("*").alias("n"))
     runs = F.transform(F.sequence(F.lit(2), F.least(F.size("p"), F.lit(3))), lambda n: F.transform(F.sequence(F.lit(1), F.size("p") - n + 1), lambda i: F.array_join(F.slice("p", i, n), " ")))
     neighbours = typed.select(F.explode("phrases").alias("p")).filter("size(p) > 1").select(F.explode(F.flatten(runs)).alias("read"))
-    joined = neighbours.groupBy("read").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN).select(F.lit("w").alias("kind"), F.replace("read", F.lit(" "), F.lit("")).alias("word"), "n", "read")
-    targets = counted.withColumn("read", F.col("word")).unionByName(joined)
+    joined = neighbours.groupBy("read").agg(F.count("*").alias("n")).select(F.lit("w").alias("kind"), F.replace("read", F.lit(" "), F.lit("")).alias("word"), "n", "read")
+    # a run's joined form itself is its slip if no more frequent; slips of it must be far rarer, as of any word
+    written = counted.join(joined.select("kind", "word", F.col("n").alias("often"), "read"), ["kind", "word"]).filter("often >= n").select("kind", "word", "n", F.col("word").alias("target"), "often", "read")
+    targets = counted.withColumn("read", F.col("word")).unionByName(joined.filter(F.col("n") >= RATIO))
     times = "IF(length(word) >= 7, 2, 1)"
     ratio = F.when(F.col("kind") == "c", NAME_RATIO).otherwise(RATIO)
     left = counted.filter("length(word) >= 4").selectExpr("kind", "word", "n", f"explode({_deletions('word', times)}) AS v")
     right = targets.filter((F.col("n") >= ratio) & (F.length("word") >= 4)).selectExpr("kind", "word AS target", "n AS often", "read", f"explode({_deletions('word', times)}) AS v")
-    met = left.join(right, ["kind", "v"]).filter(F.col("often") >= F.when(F.col("word") == F.col("target"), 1).otherwise(ratio) * F.col("n")).filter("word <> read").select("kind", "word", "n", "target", "often", "read").distinct()
+    met = left.join(right, ["kind", "v"]).filter(F.col("often") >= ratio * F.col("n")).select("kind", "word", "n", "target", "often", "read").unionByName(written).filter("word <> read").distinct()
     # two letters swapped are one edit, as are those that levenshtein counts as one
     swapped = "length(word) = length(target) AND array_sort(split(word, '')) = array_sort(split(target, ''))"
     near = met.withColumn("d", F.levenshtein("word", "target", 2)).filter("d >= 0").withColumn("d", F.expr(f"IF({swapped}, 1, d)")).filter("d <= 1 OR length(word) >= 7")
@@ -97,7 +99,7 @@ def corrections(typed: DataFrame) -> DataFrame:
 
 
 def canonical(typed: DataFrame) -> DataFrame:
-    """posting_id, rank, company, words, town with slips put right; words is sorted, the company's first word first.
+    """posting_id, rank, company, raw, words, doubt, town: the title's words as typed and as read (both sorted), and those read with doubt.
 
     ``typed`` must be written (cut from its lineage), so that its row numbers hold. Only the few words that have a
     correction are brought back to their rows, as one small map a row."""
@@ -114,8 +116,13 @@ def canonical(typed: DataFrame) -> DataFrame:
     def read(kind: str, words: Column) -> Column:
         return F.transform(words, lambda w: F.coalesce(F.try_element_at("fix", F.concat(F.lit(kind), w)), w))
 
-    words = F.array_sort(F.array_distinct(F.split(F.array_join(read("w", F.flatten("phrases")), " "), " ")))
-    return rows.select("posting_id", "rank", read("c", F.col("company")).alias("company"), words.alias("words"), F.array_join(F.array_sort(F.array_distinct(read("t", F.col("town")))), " ").alias("town"))
+    def tidy(words: Column) -> Column:
+        return F.array_sort(F.array_distinct(words))
+
+    said = once(rows, "_read", F.split(F.array_join(read("w", F.flatten("phrases")), " "), " "))
+    plain = F.transform("_read", lambda w: F.rtrim(w, F.lit(DOUBT)))
+    doubt = F.transform(F.filter("_read", lambda w: F.endswith(w, F.lit(DOUBT))), lambda w: F.rtrim(w, F.lit(DOUBT)))
+    return said.select("posting_id", "rank", read("c", F.col("company")).alias("company"), tidy(F.flatten("phrases")).alias("raw"), F.filter(tidy(plain), lambda w: w != "").alias("words"), tidy(doubt).alias("doubt"), F.array_join(tidy(read("t", F.col("town"))), " ").alias("town"))
 
 
 _SEEDS = np.random.default_rng(7)
@@ -124,7 +131,7 @@ _SHIFTS = _SEEDS.integers(0, 2**63, VALUES, dtype=np.uint64)
 
 
 def _minhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """class_id, shingle hashes, first, open -> class_id, band keys, signature of VALUES bytes, first, open."""
+    """id, shingle hashes, block, rep -> id, band keys (with the block), signature of VALUES bytes, rep."""
     for batch in batches:
         lists = batch.column(1)
         flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -136,14 +143,13 @@ def _minhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mixed = flat * _MULTIPLIERS[j] + _SHIFTS[j]
                 mixed ^= mixed >> np.uint64(31)
                 lows[:, j] = np.minimum.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), starts)
-            keys = np.zeros((len(lists), BANDS), dtype=np.uint64)
+            keys = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)[:, None] + np.arange(BANDS, dtype=np.uint64)
             for r in range(ROWS):
-                keys = (keys ^ lows[:, r * BANDS : (r + 1) * BANDS]) * np.uint64(0x100000001B3)
-        signature = (lows >> np.uint64(56)).astype(np.uint8)
-        words = signature.view(">i8")
+                keys = (keys ^ (keys >> np.uint64(29)) ^ lows[:, r * BANDS : (r + 1) * BANDS]) * np.uint64(0xBF58476D1CE4E5B9)
+        words = (lows >> np.uint64(56)).astype(np.uint8).view(">i8")
         bands = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel()))
         longs = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.astype(np.int64).ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), bands, longs, batch.column(2), batch.column(3)], names=["class_id", "bands", "signature", "first", "open"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), bands, longs, batch.column(3)], names=["id", "bands", "signature", "rep"])
 
 
 def least_matches(step: int = 16, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -172,112 +178,142 @@ def _equal_bytes(a: Column, b: Column) -> Column:
     return 8 - F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
 
 
-def near_names(classes: DataFrame) -> DataFrame:
-    """name, like: companies' first words that may be slips, and the near names that they may be slips of.
+def near_names(nodes: DataFrame) -> DataFrame:
+    """name, like: companies' first words that may be slips, and the near names, at least as frequent, that they may be slips of.
 
-    A name of ``RARE`` classes at most may be one of any near name of as many, other names only of one of
-    ``NAME_RATIO`` (``FAR_RATIO`` at two edits) times as many: made-up names that are near are mostly two names."""
-    names = classes.groupBy(F.get("company", F.lit(0)).alias("name")).agg(F.count("*").alias("n")).filter("length(name) >= 4")
+    Two edits need ``NAME_RATIO`` times the frequency: made-up names that are near are mostly two names."""
+    names = nodes.groupBy(F.get("company", F.lit(0)).alias("name")).agg(F.count("*").alias("n")).filter("length(name) >= 4")
     keys = cut_lineage(names.selectExpr("name", "n", f"explode({_deletions('name', '2')}) AS v"))
     met = keys.join(keys.selectExpr("name AS like", "n AS often", "v"), "v").filter("name <> like AND often >= n").select("name", "like", "n", "often").distinct()
-    ratio = F.when(F.expr("levenshtein(name, like) = 1 OR array_sort(split(name, '')) = array_sort(split(like, ''))"), NAME_RATIO).otherwise(FAR_RATIO)
-    return met.filter(NEAR_NAME.format("name", "like")).filter((F.col("n") <= RARE) | (F.col("often") >= ratio * F.col("n"))).select("name", "like")
-
-
-def candidates(classes: DataFrame) -> DataFrame:
-    """a, b (class ids, a < b): pairs of classes of one company, one of them ``open`` at least, that survive the pruning.
-
-    Classes whose company's name may be a slip of another also ask under that other name.
-
-    A band's key is hashed together with the company's first word and the rank, which must be the same in any case,
-    so no bucket goes beyond them. Pairs are made by a join on that key, which is left to the adaptive skew join to
-    split where a bucket is hot."""
-    grams = F.flatten(F.transform(F.concat("words", F.array(F.concat(F.lit("!"), "rank"))), lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.xxhash64(F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(SHINGLE))))))
-    told = classes.select("class_id", F.array_distinct(grams).alias("g"), F.concat_ws(" ", F.get("company", F.lit(0)), "rank").alias("first"), "open").filter("size(g) > 0")
-    likes = near_names(classes)
-    other = classes.select("class_id", F.get("company", F.lit(0)).alias("name"), "rank").join(likes, "name").select("class_id", F.concat_ws(" ", "like", "rank").alias("first"))
-    signed = cut_lineage(told.mapInArrow(_minhash, "class_id bigint, bands array<bigint>, signature array<bigint>, first string, open boolean"))
-    keyed = lambda x: x.select("class_id", F.posexplode("bands").alias("i", "key"), "first", "open").select("class_id", F.xxhash64("first", "i", "key").alias("key"), "open")
-    bands = keyed(signed)
-    # a class without doubtful words is only ever linked to one that has some (those ask, all answer) or to one of the same letters
-    asks = bands.filter("open").unionByName(keyed(signed.drop("first").join(other, "class_id"))).select("key", F.col("class_id").alias("x"))
-    met = asks.join(bands.select("key", F.col("class_id").alias("y")), "key").filter("x <> y")
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    left, right = (signed.select(F.col("class_id").alias(c), F.col("signature").alias(f"s{c}")) for c in ("a", "b"))
-    compared = pairs.join(left, "a").join(right, "b")
+    one = F.expr("levenshtein(name, like) = 1 OR array_sort(split(name, '')) = array_sort(split(like, ''))")
+    return met.filter(NEAR_NAME.format("name", "like")).filter(one | (F.col("often") >= NAME_RATIO * F.col("n"))).select("name", "like")
+
+
+def shingles(words: Column) -> Column:
+    """The distinct hashed shingles of an array of words, their beginnings and ends marked."""
+    return F.array_distinct(F.flatten(F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.xxhash64(F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(SHINGLE)))))))
+
+
+def candidates(nodes: DataFrame) -> DataFrame:
+    """x, y (ids of nodes, y a representative): pairs of one company and rank that survive the pruning.
+
+    All nodes ask, representatives answer. Nodes whose company's name may be a slip of another also ask under that
+    name. A band's key is hashed together with the company's first word and the rank, so no bucket goes beyond
+    them; pairs are made by a join on that key, which adaptive execution splits where a bucket is hot."""
+    block = lambda name: F.xxhash64(name, "rank")
+    told = nodes.withColumn("name", F.get("company", F.lit(0)))
+    other = told.join(near_names(nodes), "name").select("id", "words", block("like").alias("block"), F.lit(False).alias("rep"))
+    asks = told.select("id", "words", block("name").alias("block"), "rep").unionByName(other)
+    signed = cut_lineage(asks.select("id", shingles(F.col("words")).alias("g"), "block", "rep").filter("size(g) > 0").mapInArrow(_minhash, "id bigint, bands array<bigint>, signature array<bigint>, rep boolean"))
+    met = signed.select(F.col("id").alias("x"), F.explode("bands").alias("key"), F.col("rep").alias("both")).join(signed.filter("rep").select(F.col("id").alias("y"), F.explode("bands").alias("key")), "key")
+    # two representatives are one pair
+    pairs = met.filter("x <> y AND (NOT both OR x < y)").select("x", "y").distinct()
+    left, right = (x.groupBy(F.col("id").alias(c)).agg(F.first("signature").alias(f"s{c}")) for x, c in ((signed, "x"), (signed.filter("rep"), "y")))
     # piece by piece: a pair that is dropped is not compared any further
     step = 2
-    alive = compared.withColumn("m", F.lit(0))
+    alive = pairs.join(left, "x").join(right, "y").withColumn("m", F.lit(0))
     for k, fewest in enumerate(least_matches(8 * step)):
-        more = reduce(lambda x, y: x + y, [_equal_bytes(F.get("sa", F.lit(step * k + i)), F.get("sb", F.lit(step * k + i))) for i in range(step)])
+        more = reduce(lambda x, y: x + y, [_equal_bytes(F.get("sx", F.lit(step * k + i)), F.get("sy", F.lit(step * k + i))) for i in range(step)])
         alive = once(alive.withColumnRenamed("m", "before"), "m", F.col("before") + more).drop("before").filter(F.col("m") >= fewest)
-    return alive.select("a", "b")
+    return alive.select("x", "y")
 
 
-def same_letters(classes: DataFrame) -> DataFrame:
-    """a, b (class ids, a < b): pairs of classes of one company's first word and rank whose words have the same letters, as words written together have."""
-    letters = F.array_join(F.array_sort(F.split(F.replace(F.array_join("words", ""), F.lit(DOUBT), F.lit("")), "")), "")
-    keyed = cut_lineage(classes.select("class_id", F.xxhash64(F.get("company", F.lit(0)), "rank", letters).alias("key")))
-    return keyed.select("key", F.col("class_id").alias("a")).join(keyed.select("key", F.col("class_id").alias("b")), "key").filter("a < b").select("a", "b")
+#: SQL: whether two companies (arrays of words) may be one, and whether their first words are only near.
+_COMPANY = "(size({0}) < 2 OR size({1}) < 2 OR get({0}, 1) = get({1}, 1) OR levenshtein(get({0}, 1), get({1}, 1)) <= 2)"
+_NEAR = "length({0}) >= 5 AND length({1}) >= 5 AND (levenshtein({0}, {1}) <= 1 OR (length({0}) = length({1}) AND array_sort(split({0}, '')) = array_sort(split({1}, ''))))".replace("5", str(LONG))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose companies, ranks and words are the same but for a doubtful rest within a few edits.
+def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """x, y, member: the pairs whose similarity reaches ``THRESHOLD``, computed exactly, and whose differing words are the same.
 
-    ``words`` must agree; what is left on both sides must be within half its letters (five edits at most) of each
-    other or of the same letters (words written together), and on one side consist of doubtful words."""
-    cols = ["company", "rank", "words", "rare"]
-    left, right = (classes.select(F.col("class_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in cols]) for c in ("a", "b"))
-    x = pairs.join(left, "a").join(right, "b").filter("rank_a = rank_b")
-    second = "(size(company_a) < 2 OR size(company_b) < 2 OR get(company_a, 1) = get(company_b, 1) OR levenshtein(get(company_a, 1), get(company_b, 1)) <= 2)"
-    first = [f"get(company_{c}, 0)" for c in "ab"]
-    x = x.filter(f"({first[0]} = {first[1]} OR {NEAR_NAME.format(*first)}) AND {second}")
+    A wording and the representative it is read as are member and class. Of two representatives the words left
+    over on both sides must be within one edit each (of a doubtful slip half its letters, five edits at most), or have
+    the same letters (words written together or parted), or be within half their letters where one side's are all doubtful."""
+    cols = ["key", "target", "company", "words", "rare", "rep"]
+    left, right = (nodes.select(F.col("id").alias(c), *[F.col(v).alias(f"{v}_{c}") for v in cols]) for c in ("x", "y"))
+    p = pairs.join(left, "x").join(right, "y")
+    first = [f"get(company_{c}, 0)" for c in "xy"]
+    p = p.filter(f"({first[0]} = {first[1]} OR {NEAR_NAME.format(*first)}) AND {_COMPANY.format('company_x', 'company_y')}")
     # names that are only near: the further words must be the same, or else the title's words
-    x = x.filter(f"{first[0]} = {first[1]} OR (size(company_a) > 1 AND slice(company_a, 2, 99) = slice(company_b, 2, 99)) OR (least(size(company_a), size(company_b)) = 1 AND words_a = words_b)")
-    x = x.selectExpr("a", "b", "array_except(words_a, words_b) AS u", "array_except(words_b, words_a) AS v", "rare_a", "rare_b")
-    u, v = (f"replace(array_join({c}, ''), '{DOUBT}', '')" for c in "uv")
+    p = p.filter(f"{first[0]} = {first[1]} OR (size(company_x) > 1 AND slice(company_x, 2, 99) = slice(company_y, 2, 99)) OR (least(size(company_x), size(company_y)) = 1 AND words_x = words_y)")
+    p = p.withColumn("member", F.expr("target_x = key_y")).filter("member OR rep_x")
+    p = once(p, "r", F.struct(F.array_except("words_x", "words_y").alias("u"), F.array_except("words_y", "words_x").alias("v")))
+    u, v = "array_join(r.u, '')", "array_join(r.v, '')"
     letters = "array_join(array_sort(split({}, '')), '')"
+    near = _NEAR.format("a", "b")
+    # word by word: one edit, or more where either is doubtful
+    pair = "({0} OR (({1}) AND levenshtein(a, b) <= greatest(2, least(5, length(a) DIV 2))))"
+    near = pair.format(_NEAR.format("a", "b"), "array_contains(rare_x, a) OR array_contains(rare_y, b)")
+    back = pair.format(_NEAR.format("a", "b"), "array_contains(rare_y, a) OR array_contains(rare_x, b)")
+    each = f"(size(r.u) > 0 AND size(r.u) = size(r.v) AND forall(r.u, a -> exists(r.v, b -> {near})) AND forall(r.v, a -> exists(r.u, b -> {back})))"
+    one = "(size({0}) = 1 AND forall({1}, w -> contains(get({0}, 0), w)))"
+    together = f"({letters.format(u)} = {letters.format(v)} AND ({u} = {v} OR {one.format('r.u', 'r.v')} OR {one.format('r.v', 'r.u')}))"
     close = f"(levenshtein({u}, {v}) <= greatest(2, least(5, length({u}) DIV 2)) OR {letters.format(u)} = {letters.format(v)})"
-    # words written together, in whatever order
-    one = "(size({0}) = 1 AND forall({1}, w -> contains(get({0}, 0), replace(w, '?', ''))))"
-    together = f"({letters.format(u)} = {letters.format(v)} AND ({one.format('u', 'v')} OR {one.format('v', 'u')}))"
-    return x.filter(f"{u} = {v} OR {together} OR (size(u) > 0 AND size(v) > 0 AND {close} AND (size(array_except(u, rare_a)) = 0 OR size(array_except(v, rare_b)) = 0))").select("a", "b")
+    doubt = f"(size(r.u) > 0 AND size(r.v) > 0 AND {close} AND (size(array_except(r.u, rare_x)) = 0 OR size(array_except(r.v, rare_y)) = 0))"
+    p = p.filter(f"member OR {together} OR {each} OR {doubt}")
+    p = once(p.select("x", "y", "member", shingles(F.col("words_x")).alias("gx"), shingles(F.col("words_y")).alias("gy")), "both", F.size(F.array_intersect("gx", "gy")))
+    return p.filter(F.col("both") >= THRESHOLD * (F.size("gx") + F.size("gy") - F.col("both"))).select("x", "y", "member")
 
 
 def doubtful(words: DataFrame) -> DataFrame:
-    """word: of ``words`` (word, n: classes that have it) those marked with ``DOUBT``, those in ``RARE`` classes at most, and those near or containing a word of far more classes.
+    """word: of ``words`` (word, n: wordings that have it) those near or containing a word of far more wordings.
 
-    Near is one edit (or the same letters) from a word of ``RATIO`` times as many classes, or two (of seven letters
+    Near is one edit (or the same letters) from a word of ``RATIO`` times as many wordings, or two (of seven letters
     and more also a swap and an edit) from one of ``FAR_RATIO`` times as many, or beginning or ending with such a word
     and three letters more (words written together). Only ratios count, so that a slip is
     as doubtful in a large table as in a small one, and Water and Waste are two words in either."""
-    plain = words.filter(~F.col("word").endswith(DOUBT))
-    long = plain.filter("length(word) >= 4").selectExpr("word", "n", f"explode({_deletions('word', '2')}) AS v")
-    left, right = long.filter(F.col("n") > RARE), long.filter(F.col("n") > RATIO * RARE).selectExpr("word AS target", "n AS often", "v")
-    met = left.join(right, "v").filter(F.col("often") >= RATIO * F.col("n")).select("word", "n", "target", "often").distinct()
+    long = words.filter("length(word) >= 3").selectExpr("word", "n", f"explode({_deletions('word', '2')}) AS v")
+    right = long.filter(F.col("n") >= RATIO).selectExpr("word AS target", "n AS often", "v")
+    met = long.join(right, "v").filter(F.col("often") >= RATIO * F.col("n")).select("word", "n", "target", "often").distinct()
     d = F.expr("IF(array_sort(split(word, '')) = array_sort(split(target, '')), 1, levenshtein(word, target))")
     far = (F.col("often") >= FAR_RATIO * F.col("n")) & (d <= F.when(F.length("word") >= 7, 3).otherwise(2))
     ends = "flatten(transform(sequence(4, length(word) - 3), i -> array(substring(word, 1, i), substring(word, -i))))"
-    parts = plain.filter((F.length("word") >= 7) & (F.col("n") > RARE)).selectExpr("word", "n", f"explode({ends}) AS target")
-    together = parts.join(plain.select(F.col("word").alias("target"), F.col("n").alias("often")), "target").filter(F.col("often") >= FAR_RATIO * F.col("n"))
-    found = met.filter((d <= 1) | far).select("word").unionByName(together.select("word"))
-    return words.filter(F.col("word").endswith(DOUBT) | (F.col("n") <= RARE)).select("word").unionByName(found).distinct()
+    parts = words.filter(F.length("word") >= 7).selectExpr("word", "n", f"explode({ends}) AS target")
+    together = parts.join(words.select(F.col("word").alias("target"), F.col("n").alias("often")), "target").filter(F.col("often") >= FAR_RATIO * F.col("n"))
+    return met.filter((d <= 1) | far).select("word").unionByName(together.select("word")).distinct()
+
+
+def _key(words: str) -> Column:
+    """128 bits of a wording: company, rank and words."""
+    return F.unhex(F.md5(F.concat_ws("\x01", F.array_join("company", " "), "rank", F.array_join(words, " "))))
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """id, key, target, rep, company, rank, words, rare: every wording once, and every representative, also one that nobody typed.
+
+    ``target`` is the key of the representative that a wording is read as; representatives are their own. ``rare``
+    are a representative's doubtful words."""
+    none = F.array().cast("array<string>")
+    typed, read = (F.struct(F.col(k).alias("key"), F.col("class_key").alias("target"), F.col(w).alias("words"), d.alias("doubt")) for k, w, d in (("raw_key", "raw", none), ("class_key", "words", F.col("doubt"))))
+    each = rows.select("company", "rank", F.explode(F.array(typed, read)).alias("n")).select("company", "rank", "n.*")
+    nodes = each.groupBy("key").agg(F.max(F.struct(F.col("key") == F.col("target"), "target", "words", "doubt")).alias("n"), F.first("company").alias("company"), F.first("rank").alias("rank"))
+    nodes = cut_lineage(nodes.select(F.monotonically_increasing_id().alias("id"), "key", "n.target", F.expr("key = n.target").alias("rep"), "company", "rank", "n.words", "n.doubt"))
+    words = nodes.filter("rep").select("id", F.explode("words").alias("word"))
+    seen = doubtful(cut_lineage(words.groupBy("word").agg(F.count("*").alias("n"))))
+    rare = words.join(seen, "word").groupBy("id").agg(F.collect_set("word").alias("more"))
+    return nodes.join(rare, "id", "left").withColumn("rare", F.array_union("doubt", F.coalesce("more", none))).drop("doubt", "more")
 
 
 def openings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (posting_id, class_id, town) and links (a, b) between different classes that are the same opening."""
+    """Members (posting_id, class_id, town) and links (a, b; a < b) between the classes that are the same opening.
+
+    Both together are the whole result: two postings advertise the same opening if they are of one class or of
+    linked classes, and their towns do not differ (``TOWNS``)."""
+    ship_package(postings.sparkSession)
     typed = cut_lineage(typed_words(postings.select("posting_id", "title", "company", "location_raw")))
-    rows = canonical(typed)
-    key = F.xxhash64(F.array_join("company", " "), "rank", F.array_join("words", " "))
-    rows = cut_lineage(rows.withColumn("class_id", key))
-    classes = rows.groupBy("class_id").agg(F.first("company").alias("company"), F.first("rank").alias("rank"), F.first("words").alias("words"))
-    each = classes.select("class_id", F.explode("words").alias("word"))
-    seen = doubtful(cut_lineage(each.groupBy("word").agg(F.count("*").alias("n"))))
-    rare = each.join(seen, "word").groupBy("class_id").agg(F.collect_set("word").alias("rare"))
-    x = classes.join(rare, "class_id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
-    classes = cut_lineage(x.withColumn("open", F.size("rare") > 0))
-    links = cut_lineage(_verified(candidates(classes).unionByName(same_letters(classes)).distinct(), classes))
-    return rows.select("posting_id", "class_id", "town").distinct(), links
+    rows = cut_lineage(canonical(typed).withColumns({"raw_key": _key("raw"), "class_key": _key("words")}))
+    nodes = cut_lineage(_nodes(rows))
+    same = cut_lineage(verified(candidates(nodes), nodes))
+    keys = lambda x: x.join(nodes.select(F.col("id").alias("x"), F.col("key").alias("kx")), "x").join(nodes.select(F.col("id").alias("y"), F.col("key").alias("ky")), "y")
+    joined = keys(same.filter("member")).select(F.col("kx").alias("raw_key"), F.col("ky").alias("found"))
+    # wordings that did not reach their representative are classes of their own
+    members = rows.join(joined, "raw_key", "left").select("posting_id", F.hex(F.coalesce("found", "raw_key")).alias("class_id"), "town").distinct()
+    links = keys(same.filter("NOT member")).select(F.hex(F.least("kx", "ky")).alias("a"), F.hex(F.greatest("kx", "ky")).alias("b"))
+    return cut_lineage(members), cut_lineage(links.distinct())
+
+
+#: SQL: whether two towns may be one; none, where it is not told, counts neither for nor against.
+TOWNS = "ta = '' OR tb = '' OR ta = tb OR levenshtein(ta, tb, 2) BETWEEN 0 AND 1"
 
 
 def same_openings(postings: DataFrame) -> DataFrame:
@@ -286,16 +322,20 @@ def same_openings(postings: DataFrame) -> DataFrame:
     Postings without company (null or blank) belong to no pair; a town that is null or not told counts neither
     for nor against. Rows delivered twice count once; an empty table gives no pairs."""
     members, links = openings(postings)
-    both = links.select("a", "b").unionByName(members.groupBy("class_id").count().filter("count > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
+    several = members.groupBy("class_id").count().filter("count > 1").select(F.col("class_id").alias("a"), F.col("class_id").alias("b"))
     left = members.select(F.col("class_id").alias("a"), F.col("posting_id").alias("pa"), F.col("town").alias("ta"))
     right = members.select(F.col("class_id").alias("b"), F.col("posting_id").alias("pb"), F.col("town").alias("tb"))
-    same_town = "ta = '' OR tb = '' OR ta = tb OR levenshtein(ta, tb, 2) BETWEEN 0 AND 1"
-    pairs = both.join(left, "a").join(right, "b").filter("pa <> pb").filter(same_town)
+    pairs = links.unionByName(several).join(left, "a").join(right, "b").filter("pa <> pb").filter(TOWNS)
     return pairs.select(F.least("pa", "pb").alias("posting_id_a"), F.greatest("pa", "pb").alias("posting_id_b")).distinct()
 
 
 def opening_classes(postings: DataFrame) -> DataFrame:
-    """posting_id, class_id, n_links: the class of each posting that has a company, and how many other classes are the same opening."""
+    """posting_id, class_id, town, n_links: the class and town of each posting that has a company, and how many other classes are the same opening."""
     members, links = openings(postings)
     ends = links.select(F.col("a").alias("class_id")).unionByName(links.select(F.col("b").alias("class_id")))
-    return members.select("posting_id", "class_id").distinct().join(ends.groupBy("class_id").agg(F.count("*").alias("n_links")), "class_id", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    return members.join(ends.groupBy("class_id").agg(F.count("*").alias("n_links")), "class_id", "left").select("posting_id", "class_id", "town", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def opening_links(postings: DataFrame) -> DataFrame:
+    """a, b (a < b): the pairs of classes of ``opening_classes`` that are the same opening."""
+    return openings(postings)[1]

@@ -68,10 +68,15 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_classes(spark: SparkSession, d: str) -> DataFrame:
-    """posting_id, class_id, n_links of every posting with a company."""
+    """posting_id, class_id, town, n_links of every posting with a company."""
     return neardup.opening_classes(table(spark, d, "postings"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """a, b of all pairs of classes of p1_classes that are the same opening."""
+    return neardup.opening_links(table(spark, d, "postings"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_links": p1_links, "p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
 
 SQL = {"p7_found": labelmatch.BRUTE, "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
