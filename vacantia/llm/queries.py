@@ -52,6 +52,11 @@ def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.salary_percentiles(table(spark, d, "posting_snapshots"))
 
 
+def p3_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    """percent, n_groups, n_outside: percentiles of p3_percentiles and those further from the exact rank than their bound."""
+    return quantiles.salary_accuracy(table(spark, d, "posting_snapshots")).select("percent", "n_groups", "n_outside")
+
+
 def p7_matches(spark: SparkSession, d: str) -> DataFrame:
     """posting_id, isco_code ('none' if unmatched), label, isco_match_score of every posting without isco_code."""
     return labelmatch.match_titles(spark, table(spark, d, "postings"), table(spark, d, "isco_labels"))
@@ -77,6 +82,6 @@ def p1_links(spark: SparkSession, d: str) -> DataFrame:
     return neardup.opening_links(table(spark, d, "postings"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_links": p1_links, "p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_links": p1_links, "p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p3_accuracy": p3_accuracy, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
 
-SQL = {"p7_found": labelmatch.BRUTE, "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
+SQL = {"p3_accuracy": quantiles.ACCURACY, "p7_found": labelmatch.BRUTE, "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
