@@ -44,6 +44,10 @@ THOUSANDS, MINOR = ("thousands", "thousand", "k", "x1000", "1000"), ("minor", "c
 
 #: Share of an inferred unit's posterior from which it counts as sure, and the histogram's bins.
 SURE, BIN, LOW, BINS = 0.9, 0.02, -12.0, 2000
+#: Spread of the logarithm of a recorded number beside the one that a payload gives.
+SPREAD = 1.0
+#: The greatest yearly amount told; greater ones count as it.
+MOST = 9_000_000_000_000_000_000
 
 _CUR = r"(?:EUR|USD|GBP|INR|AUD|CAD|PLN|SEK|CHF|SGD|NOK|DKK|CZK|HUF|NZD|HKD|JPY|€|£|\$|₹|zł|kr)"
 _NUM = r"(?:\d{1,3}(?:[ .,'’\x{A0}\x{202F}]\d{3})+(?!\d)(?:[.,]\d{1,2})?|\d+(?:[.,]\d+)?)"
@@ -114,7 +118,8 @@ def amounts(postings: DataFrame, rates: DataFrame) -> DataFrame:
     """posting_id, bound, value, ingested_at, period, currency, rate, scale of every recorded bound.
 
     ``period`` is null where stated nowhere, ``rate`` where the currency is unknown; ``scale`` is the factor to
-    whole units, null where the payload abbreviates but gives no number to compare the recorded one with."""
+    whole units and ``sure`` its posterior, both null where the payload abbreviates but gives no number to compare the
+    recorded one with."""
     x = stated(postings.select("posting_id", "country", "salary_min_eur", "salary_max_eur", "salary_period", "ingested_at", "raw_payload"))
     by_country = rates.filter("country is not null").groupBy(F.col("country")).agg(F.max("currency").alias("_home"))
     by_currency = rates.filter("currency is not null and rate > 0").groupBy(F.col("currency").alias("currency")).agg(F.max("rate").alias("rate"))
@@ -130,9 +135,14 @@ def amounts(postings: DataFrame, rates: DataFrame) -> DataFrame:
     x = once(x, "_u", F.struct(period.alias("period"), F.coalesce(p["currency"], named, F.col("_home")).alias("currency"), unit.alias("unit"), F.coalesce(low, high).alias("min"), F.coalesce(high, low).alias("max")))
     bounds = F.filter(F.array(*[F.struct(F.lit(b).alias("bound"), F.col(f"salary_{b}_eur").alias("value"), F.col(f"_u.{b}").alias("said")) for b in ("min", "max")]), lambda b: b["value"].isNotNull())
     x = x.select("posting_id", "ingested_at", "_u.period", "_u.currency", "_u.unit", F.explode(bounds).alias("b")).select("posting_id", "ingested_at", "period", "currency", "unit", "b.*")
-    ratio = F.try_divide("value", "said")
-    scale = F.when(F.col("unit") == "plain", 1.0).when(F.col("unit") == "thousands", F.when(ratio >= 30, 1.0).when(ratio < 30, 1000.0)).otherwise(F.when(ratio <= 1 / 30, 1.0).when(ratio > 1 / 30, 0.01))
-    return x.withColumn("scale", scale).join(F.broadcast(by_currency), "currency", "left").select("posting_id", "bound", "value", "ingested_at", "period", "currency", "unit", "rate", "scale")
+    # two components of the recorded number beside the said one: as said, or multiplied out
+    factor = F.when(F.col("unit") == "thousands", SCALES["thousands"]).when(F.col("unit") == "minor", SCALES["minor"])
+    ratio = F.ln(F.when((F.col("value") > 0) & (F.col("said") > 0), F.try_divide("value", "said")))
+    odds = (ratio * ratio - (ratio - F.ln(factor)) ** 2) / (2 * SPREAD**2)
+    x = once(x, "_out", F.when(F.col("unit") == "plain", 1.0).otherwise(1 / (1 + F.exp(-odds))))
+    scale = F.when(F.col("unit") == "plain", 1.0).when(F.col("_out") >= 0.5, 1.0).when(F.col("_out") < 0.5, factor)
+    x = x.withColumn("scale", scale).withColumn("sure", F.greatest("_out", 1 - F.col("_out")))
+    return x.join(F.broadcast(by_currency), "currency", "left").select("posting_id", "bound", "value", "ingested_at", "period", "currency", "unit", "rate", "scale", "sure")
 
 
 #: Every (period, scale) an amount may be recorded in, with the factor to yearly whole units.
@@ -176,7 +186,7 @@ def in_yearly_euros(rows: DataFrame, fit: dict) -> DataFrame:
 
     ``stated`` tells whether the period was; else period and scale are those of greatest posterior, and
     ``uncertain`` marks posteriors under ``SURE`` (and amounts that allow none: not positive, or of unknown
-    currency, whose ``eur_per_year`` is null if the currency is unknown). Of a posting delivered with several
+    currency, whose ``eur_per_year`` is null if the currency is unknown). Amounts beyond ``MOST`` are told as ``MOST``, infinite ones as null. Of a posting delivered with several
     values, the newest ingested holds."""
     log = F.ln(F.when((F.col("value") > 0) & (F.col("value") < float("inf")), F.col("value") / F.col("rate")))
 
@@ -193,14 +203,15 @@ def in_yearly_euros(rows: DataFrame, fit: dict) -> DataFrame:
     mass = F.aggregate(F.transform("_open", lambda c: F.coalesce(c["d"], F.lit(0.0))), F.lit(0.0), lambda a, b: a + b)
     stated_period = F.col("period").isNotNull()
     sure = F.col("_open").isNull()
-    posterior = F.when(sure, 1.0).otherwise(F.try_divide(F.col("_best.d"), mass))
+    posterior = F.when(sure, F.coalesce("sure", F.lit(1.0))).otherwise(F.try_divide(F.col("_best.d"), mass))
     period = F.coalesce("period", "_best.period")
     scale = F.coalesce(F.when(sure, F.col("scale")), F.col("_best.scale"))
     factor = reduce(lambda acc, kv: acc.when(period == kv[0], float(kv[1])), PER_YEAR.items(), F.when(F.lit(False), 0.0))
-    euros = F.floor(F.col("value") * scale * factor / F.col("rate") + 0.5)
+    euros = F.col("value") * scale * factor / F.col("rate") + 0.5
+    whole = F.when(euros.isNull() | F.isnan(euros) | (F.abs(euros) == float("inf")), None).when(euros >= MOST, MOST).when(euros <= -MOST, -MOST).otherwise(F.floor(euros)).cast("long")
     out = x.select(
         "posting_id", "bound", "ingested_at",
-        F.struct("value", "currency", period.alias("period"), scale.alias("scale"), F.when(F.abs("value") < 1e12, euros).cast("long").alias("eur_per_year"), stated_period.alias("stated"), posterior.alias("posterior"), F.coalesce(posterior < SURE, F.lit(True)).alias("uncertain")).alias("r"),
+        F.struct("value", "currency", period.alias("period"), scale.alias("scale"), whole.alias("eur_per_year"), stated_period.alias("stated"), posterior.alias("posterior"), F.coalesce(posterior < SURE, F.lit(True)).alias("uncertain")).alias("r"),
     )
     return out.filter("posting_id is not null").groupBy("posting_id", "bound").agg(F.max(F.struct("ingested_at", "r")).alias("m")).select("posting_id", "bound", "m.r.*")
 
