@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from vacantia import cli, pipeline, publish, schemas
 from vacantia.operators import normalise
-from vacantia.sources import http, rates
+from vacantia.sources import http, labels, live, rates
+from vacantia.sources.registry import ConfigError
 
 NOW = datetime(2025, 6, 1, tzinfo=timezone.utc)
 LABELS = [("2511", "data analyst", "alt"), ("2221", "Nurse", "preferred")]
@@ -47,11 +48,13 @@ def test_run(spark, tmp_path):
     values_out = publish.read_manifest(done / "manifest.json")
     assert values_out["postings"] == {"row_count": 2, "source_counts": {"greenhouse": 2}, "country_counts": {"GB": 1, "IE": 1}, "isco_match_method_counts": {"fuzzy": 2}}
     assert values_out["benchmarks"]["source_counts"] == {"cso": 1}
-    assert publish.gate(values_out, values) == []
+    assert publish.gate(spark, values_out, values) == []
     assert cli.main(["gate", str(path), "--manifest", str(done / "manifest.json")]) == 0
     with pytest.raises(publish.GateError, match="lever"):
-        publish.gate(values_out, values | {"gate": {"min_total_rows": 50}})
-    assert len(publish.gate(values_out, values | {"gate": {"fail_on_issues": False}})) == 3
+        publish.gate(spark, values_out, values | {"gate": {"min_total_rows": 50}})
+    assert len(publish.gate(spark, values_out, values | {"gate": {"fail_on_issues": False}})) == 3
+    assert cli.main(["validate", str(path)]) == 2
+    path.write_text(json.dumps(values | {"sources": {k: v for k, v in values["sources"].items() if k != "who"}}))
     assert cli.main(["validate", str(path)]) == 0
 
 
@@ -73,18 +76,46 @@ def test_failures(spark, tmp_path):
     with pytest.raises(pipeline.NoRunError):
         pipeline.run_publish(spark, values, tmp_path / "d")
     assert len(pipeline.preset_issues({"sources": {"a": 1, "lever": {"enabled": True}}, "publish": {"partition_by": ["x"]}, "gate": {"min_total_rows": -1}})) == 5
+    told = pipeline.preset_issues({"preset_id": "p", "sources": {"nope": {"enabled": True}, "off": {}, "adzuna": {"enabled": True, "max_pages": 21}}, "benchmarks": {"cso": {"enabled": True, "countries": "ie"}, "x": {"enabled": True}, "oecd": {"enabled": True}}})
+    assert [t.split()[:2] for t in told] == [["source", "nope"], ["adzuna:", "max_pages"], ["cso:", "countries"], ["benchmark", "x"]]
+    assert pipeline.preset_issues({"preset_id": "p", "sources": {}, "benchmarks": [], "publish": 5}) == ["benchmarks is no mapping", "publish is no mapping"]
     (tmp_path / "bad.json").write_text("[]")
     assert cli.main(["validate", str(tmp_path / "bad.json")]) == 2
     with pytest.raises(publish.GateError):
         publish.read_manifest(tmp_path / "bad.json")
-    assert publish.issues({}, {}) == ["no postings block"]
+    assert [r[0] for r in publish.issues(spark, {}, {}).collect()] == ["no postings block"]
+    counts = {"postings": {"row_count": 30, "source_counts": {"lever": 30, "ashby": 0}}, "benchmarks": {"source_counts": {"cso": 1}}}
+    wanted = {"sources": {k: {"enabled": True} for k in ("lever", "ashby", "personio")} | {"adzuna": {"enabled": False}, "odd": 3}, "benchmarks": {k: {"enabled": True} for k in ("cso", "oecd")}}
+    assert {tuple(r) for r in publish.silent(spark, counts, wanted).collect()} == {("source", "ashby"), ("source", "personio"), ("benchmark", "oecd")}
+    assert {tuple(r) for r in publish.silent(spark, counts | {"benchmarks": None}, wanted | {"gate": {"allow_zero_sources": ["ashby"]}}).collect()} == {("source", "personio")}
+    for bad in ({"gate": []}, {"gate": {"min_total_rows": -1}}, {"gate": {"allow_zero_sources": "x"}}):
+        with pytest.raises(publish.GateError):
+            publish.gate(spark, counts, bad | {"gate": bad["gate"] or [1]})
 
 
 def test_companies_and_settings(tmp_path, monkeypatch):
     (tmp_path / "c.json").write_text(json.dumps({"lever": [" a ", "", "b"]}))
-    assert pipeline.companies(tmp_path / "c.json", "lever") == ["a", "b"] and pipeline.companies(tmp_path / "c.json", "ashby") == []
+    assert live.companies(tmp_path / "c.json", "lever") == ["a", "b"] and live.companies(tmp_path / "c.json", "ashby") == []
     monkeypatch.setenv("VACANTIA_DATA", "x")
-    assert pipeline.settings()["data"] == "x"
+    assert live.settings()["data"] == "x"
+    (tmp_path / "c.json").write_text(json.dumps({"lever": "a"}))
+    for path in (tmp_path / "c.json", tmp_path / "none.json"):
+        with pytest.raises(ConfigError):
+            live.companies(path, "lever")
+
+
+def test_label_snapshots(spark, tmp_path):
+    root = "https://c.example/isco/C"
+    edges = spark.createDataFrame([(root, root + "62"), (root + "62", root + "6221"), (root + "62", root + "6222"), ("other", root + "9999")], "parent string, child string")
+    concepts = spark.createDataFrame([(root + "62", "Growers"), (root + "6221", "Kelp growers"), (root + "6222", " "), (root + "9999", "Not below")], "uri string, title string")
+    more = spark.createDataFrame([(root + "6221", "kelp harvester"), (root + "6221", "KELP GROWERS")], "parent string, title string")
+    found = labels.from_concepts(concepts, edges, more, root)
+    labels.write(found, str(tmp_path / "s"))
+    assert [tuple(r) for r in labels.load(spark, str(tmp_path / "s")).collect()] == [("6221", "KELP GROWERS", "alt"), ("6221", "kelp harvester", "alt")]
+    for bad in (found.limit(0), found.withColumn("isco_code", F.lit("62")), found.drop("label_kind")):
+        bad.write.mode("overwrite").parquet(str(tmp_path / "bad"))
+        with pytest.raises(labels.LabelError):
+            labels.load(spark, str(tmp_path / "bad"))
 
 
 def test_throttle():

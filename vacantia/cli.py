@@ -11,7 +11,8 @@ from pathlib import Path
 
 from vacantia import __version__, pipeline, publish
 from vacantia.runtime import get_spark
-from vacantia.sources import rates
+from vacantia.sources import labels, rates
+from vacantia.sources.http import FetchError
 
 
 def parser() -> argparse.ArgumentParser:
@@ -23,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("preset", type=Path)
         s.add_argument("--data", type=Path, default=Path("data"))
         if stage == "normalise":
-            s.add_argument("--rates", type=Path, required=True, help="CSV of a header and a row of units per euro")
+            s.add_argument("--rates", type=Path, help="CSV of a header and a row of units per euro; else the day's are fetched")
             s.add_argument("--labels", type=Path, required=True, help="Parquet of isco_code, label, label_kind")
         if stage == "gate":
             s.add_argument("--manifest", type=Path, required=True)
@@ -32,19 +33,25 @@ def parser() -> argparse.ArgumentParser:
 
 def run(args: argparse.Namespace) -> str:
     if args.stage == "validate":
-        found = pipeline.preset_issues(pipeline.read_config(args.preset))
+        found = pipeline.preset_issues(pipeline.load_preset(args.preset))
         if found:
             raise pipeline.PresetError("\n".join(found))
         return "ok"
     preset = pipeline.load_preset(args.preset)
-    if args.stage == "gate":
-        return "\n".join(publish.gate(publish.read_manifest(args.manifest), preset)) or "ok"
     spark = get_spark()
+    if args.stage == "gate":
+        return "\n".join(publish.gate(spark, publish.read_manifest(args.manifest), preset)) or "ok"
+
+    def daily():
+        return rates.daily(spark, args.data / "fx" / "rates.csv")
+
     if args.stage == "fetch":
-        return str(pipeline.fetch(spark, preset, args.data))
+        out = pipeline.fetch(spark, preset, args.data)
+        pipeline.fetch_benchmarks(spark, preset, args.data, daily)
+        return str(out)
     if args.stage == "normalise":
-        table = spark.createDataFrame(sorted(rates.parsed(args.rates.read_text(encoding="utf-8")).items()), "currency string, rate double")
-        return str(pipeline.run_normalise(spark, preset, args.data, table, spark.read.parquet(str(args.labels))))
+        table = spark.createDataFrame(sorted(rates.parsed(args.rates.read_text(encoding="utf-8")).items()), "currency string, rate double") if args.rates else daily()
+        return str(pipeline.run_normalise(spark, preset, args.data, table, labels.load(spark, str(args.labels))))
     return str(pipeline.run_publish(spark, preset, args.data))
 
 
@@ -55,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         handler.addFilter(pipeline.RedactingFilter())
     try:
         print(run(args))
-    except (pipeline.PresetError, pipeline.EmptyRunError, pipeline.NoRunError, publish.PublishError, publish.GateError) as e:
+    except (pipeline.PresetError, pipeline.EmptyRunError, pipeline.NoRunError, publish.PublishError, publish.GateError, labels.LabelError, FetchError) as e:
         print(e, file=sys.stderr)
         return 2
     return 0

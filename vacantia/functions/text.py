@@ -33,6 +33,9 @@ REMOTE_NAMES = {
 # Names of query parameters that only track.
 TRACKING = ("fbclid", "gclid", "mc_cid", "mc_eid", "igshid", "yclid", "_hsenc", "_hsmi", "ref", "ref_src", "source")
 
+# Fixed value: credentials in URLs and settings.
+CREDENTIALS = r"(?i)\b(app_id|app_key|api_key|api-key)=[^&\s'\"]+"
+
 
 def clean_title(c: Column) -> Column:
     """Lower case, bracketed parts and all but a-z, 0-9 and blanks made blanks, blanks made one; null gives ''."""
@@ -126,4 +129,4 @@ def flag(c: Column) -> Column:
 
 def redacted(c: Column) -> Column:
     """Text with the values of credentials in URLs and settings blacked out."""
-    return F.regexp_replace(c, r"(?i)\b(app_id|app_key|api_key|api-key)=[^&\s'\"]+", "$1=REDACTED")
+    return F.regexp_replace(c, CREDENTIALS, "$1=REDACTED")

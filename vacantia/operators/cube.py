@@ -21,7 +21,8 @@ def _codes(dimension: Column) -> Column:
 
 
 def jsonstat_cells(df: DataFrame, text: str) -> DataFrame:
-    """``df`` without ``text``, with pos, value and coords (map of dimension to code) of each cell that has a value.
+    """``df`` without ``text``, with pos, value, coords (map of dimension to code), at and last (maps of dimension to position and
+    to its last position) of each cell that has a value.
 
     Values come as a list or as an object of flat position to value; null values, positions beyond the cube and
     documents that are no JSON-stat give no cells. The flat position is row-major: the last dimension runs fastest."""
@@ -40,7 +41,8 @@ def jsonstat_cells(df: DataFrame, text: str) -> DataFrame:
     total = F.aggregate("_d.sizes", F.lit(1), lambda a, b: a * b)
     x = x.filter((n > 0) & (F.col("c.pos") < total))
     coords = F.map_from_arrays("_d.ids", F.zip_with("_d.codes", at, lambda codes, i: F.get(codes, i)))
-    return x.select(*keep, F.col("c.pos").alias("pos"), F.col("c.value").alias("value"), coords.alias("coords"))
+    ends = F.map_from_arrays("_d.ids", F.transform("_d.codes", lambda codes: F.size(codes) - 1))
+    return x.select(*keep, F.col("c.pos").alias("pos"), F.col("c.value").alias("value"), coords.alias("coords"), F.map_from_arrays("_d.ids", at).alias("at"), ends.alias("last"))
 
 
 def sdmx_observations(df: DataFrame, text: str) -> DataFrame:
@@ -67,11 +69,17 @@ def sdmx_observations(df: DataFrame, text: str) -> DataFrame:
     return x.select(*keep, F.get("o.value", F.lit(0)).alias("value"), coords.alias("coords"), attributes.alias("attributes"))
 
 
-def latest(cells: DataFrame, dimension: str, by: list[str]) -> DataFrame:
-    """The cells of the greatest code of ``dimension`` per ``by`` (all together if empty); periods are written so that they sort."""
-    keyed = cells.withColumn("_key", F.struct(F.lit(1), *by)).withColumn("_period", F.col("coords")[dimension])
-    top = keyed.groupBy("_key").agg(F.max("_period").alias("_period"))
-    return keyed.join(top, ["_key", "_period"]).select(cells.columns)
+def named(dimensions: Column, start: str) -> Column:
+    """The name of a cube's first dimension that begins with ``start``, as time dimensions carry their unit."""
+    return F.get(F.filter(F.map_keys(dimensions), lambda k: k.startswith(start)), F.lit(0))
+
+
+def latest(cells: DataFrame, time: str) -> DataFrame:
+    """The cells at the last position of the dimension that begins with ``time``, with its code as ``period``.
+
+    Positions count, not codes, which need not sort as text; a last period without any value leaves no cells."""
+    here = once(cells, "_time", named(F.col("at"), time))
+    return here.filter(F.col("at")[F.col("_time")] == F.col("last")[F.col("_time")]).withColumn("period", F.col("coords")[F.col("_time")]).drop("_time")
 
 
 def weekly_wages(cells: DataFrame, codes: DataFrame, time: str, sector: tuple[str, str], bucket: str, statistic: tuple[str, str], url: str, retrieved) -> DataFrame:
@@ -79,28 +87,28 @@ def weekly_wages(cells: DataFrame, codes: DataFrame, time: str, sector: tuple[st
 
     ``codes`` has isco_code; codes without bucket (armed forces, others) give no rows, nor does an empty list."""
     c = F.col("coords")
-    wanted = cells.filter((c[sector[0]] == sector[1]) & (c[statistic[0]] == statistic[1])).select("value", c[time].alias("period"), c[bucket].alias("bucket"), "coords")
-    newest = latest(wanted, time, [])
+    newest = latest(cells.filter((c[sector[0]] == sector[1]) & (c[statistic[0]] == statistic[1])), time).select("value", "period", c[bucket].alias("bucket"))
     asked = codes.select("isco_code").distinct().withColumn("bucket", lookup.wage_bucket(F.col("isco_code")))
-    rows = asked.join(F.broadcast(newest.select("bucket", "period", "value")), "bucket")
+    # one cell per bucket of one cube
+    rows = asked.join(F.broadcast(newest), "bucket")
     return _benchmark(rows, F.lit("IE"), F.lit("EUR"), F.col("value") * 52.0, "cso", url, retrieved)
 
 
 def yearly_pay(cells: DataFrame, codes: list[str], countries: list[str], occupation: str, area: str, time: str, url: str, retrieved) -> DataFrame:
     """Benchmark rows of a cube of yearly pay by four-digit occupation ('OC' and the code) and country, latest period.
 
-    Empty lists ask for everything."""
+    Empty lists ask for everything. Of further dimensions, which the request has narrowed to one code, the first counts."""
     c = F.col("coords")
     code = F.regexp_extract(c[occupation], r"^OC(\d{4})$", 1)
-    rows = latest(cells, time, []).select("value", c[time].alias("period"), code.alias("isco_code"), F.upper(c[area]).alias("country")).filter("isco_code <> ''")
-    rows = _asked(rows, codes, countries)
-    return _benchmark(rows, F.col("country"), F.lit("EUR"), F.col("value"), "eurostat", url, retrieved)
+    others = F.forall(F.map_entries("at"), lambda e: e["key"].isin(occupation, area) | e["key"].startswith(time) | (e["value"] == 0))
+    rows = latest(cells.filter(others), time).select("value", "period", code.alias("isco_code"), F.upper(c[area]).alias("country")).filter("isco_code <> ''")
+    return _benchmark(_asked(rows, codes, countries), F.col("country"), F.lit("EUR"), F.col("value"), "eurostat", url, retrieved)
 
 
 def observed_pay(observations: DataFrame, codes: list[str], countries: list[str], url: str, retrieved) -> DataFrame:
-    """Benchmark rows of SDMX observations, in the currency their UNIT_MEASURE names (EUR if none)."""
+    """Benchmark rows of SDMX observations, in the currency their UNIT_MEASURE names (EUR if none); occupations are ISCO08 or OCC."""
     c = F.col("coords")
-    rows = observations.select("value", c["TIME_PERIOD"].alias("period"), c["ISCO08"].alias("isco_code"), F.upper(c["REF_AREA"]).alias("country"), F.coalesce(F.col("attributes")["UNIT_MEASURE"], F.lit("EUR")).alias("unit")).filter("isco_code RLIKE '^[0-9]{4}$'")
+    rows = observations.select("value", c["TIME_PERIOD"].alias("period"), F.coalesce(c["ISCO08"], c["OCC"]).alias("isco_code"), F.upper(c["REF_AREA"]).alias("country"), F.coalesce(F.col("attributes")["UNIT_MEASURE"], F.lit("EUR")).alias("unit")).filter("isco_code RLIKE '^[0-9]{4}$'")
     rows = _asked(rows, codes, countries)
     return _benchmark(rows, F.col("country"), F.col("unit"), F.col("value"), "oecd", url, retrieved)
 
@@ -117,5 +125,5 @@ def _benchmark(rows: DataFrame, country: Column, currency: Column, pay: Column,
     none = F.lit(None)
     return rows.select(
         "isco_code", country.alias("country"), "period", currency.alias("currency"), pay.cast("double").alias("median_eur"), none.cast("double").alias("p25_eur"), none.cast("double").alias("p75_eur"),
-        none.cast("bigint").alias("n_observations"), F.lit(source).alias("source"), F.lit(url).alias("source_url"), F.lit(retrieved).cast("timestamp").alias("retrieved_at"),
+        none.cast("bigint").alias("n_observations"), F.lit(source).alias("source"), F.lit(url).alias("source_url"), (retrieved if isinstance(retrieved, Column) else F.lit(retrieved)).cast("timestamp").alias("retrieved_at"),
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vacantia.functions.text import clean_title
+from vacantia.runtime import ship_package
 
 BLOCK = 5_000
 
@@ -137,6 +138,7 @@ def subset_matches(titles: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _scored(keys: DataFrame, block: list[tuple[int, str]], cutoff: float) -> DataFrame:
+    ship_package(keys.sparkSession)
     shared = keys.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

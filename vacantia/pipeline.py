@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import logging
-import os
 import secrets
 import shutil
 import subprocess
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
@@ -16,8 +15,12 @@ from pyspark.sql import functions as F
 
 from vacantia import publish, schemas
 from vacantia.operators import normalise
+from vacantia.runtime import cut_lineage
 from vacantia.sources.boards import ADAPTERS, united
 from vacantia.sources.http import redact
+from vacantia.sources.live import read_config
+from vacantia.sources.registry import ConfigError, Registry
+from vacantia.sources.statistics import BENCHMARKS
 
 log = logging.getLogger("vacantia")
 
@@ -42,59 +45,56 @@ class RedactingFilter(logging.Filter):
         return True
 
 
-def read_config(path: Path) -> dict:
-    """A JSON file, or YAML where PyYAML is there, as a mapping."""
-    text = path.read_text(encoding="utf-8")
-    if path.suffix == ".json":
-        values = json.loads(text)
-    else:
-        try:
-            import yaml
-        except ImportError as e:
-            raise PresetError(f"{path}: YAML needs PyYAML; JSON works without") from e
-        values = yaml.safe_load(text)
-    if not isinstance(values, dict):
-        raise PresetError(f"{path} is no mapping")
-    return values
-
-
 def load_preset(path: Path) -> dict:
-    preset = read_config(path)
-    found = preset_issues(preset)
-    if found:
-        raise PresetError("; ".join(found))
+    """A preset with the two things that no run goes without; ``preset_issues`` looks closer."""
+    try:
+        preset = read_config(path)
+    except ConfigError as e:
+        raise PresetError(str(e)) from e
+    if not isinstance(preset.get("preset_id"), str) or not preset["preset_id"]:
+        raise PresetError("preset_id is missing")
+    if not isinstance(preset.get("sources"), dict):
+        raise PresetError("sources is no mapping")
     return preset
 
 
-def preset_issues(preset: dict) -> list[str]:
-    """What a preset lacks or says wrongly."""
+def _block_issues(kind: str, block: dict, registry: Registry) -> list[str]:
     out = []
-    if not isinstance(preset.get("preset_id"), str) or not preset.get("preset_id"):
-        out.append("preset_id is missing")
-    if not isinstance(preset.get("sources"), dict):
-        return [*out, "sources is no mapping"]
-    for name, config in preset["sources"].items():
+    for name, config in block.items():
         if not isinstance(config, dict):
-            out.append(f"source {name} is no mapping")
-        elif config.get("enabled") and name in ADAPTERS and "path" not in config:
-            out.append(f"source {name} has no path")
-    most = (preset.get("gate") or {}).get("min_total_rows", 0)
-    if not isinstance(most, int) or most < 0:
-        out.append("gate.min_total_rows is no number from 0")
-    by = (preset.get("publish") or {}).get("partition_by", [])
-    if not isinstance(by, list) or set(by) - set(schemas.POSTING.names) - {"year_month"}:
-        out.append("publish.partition_by names no columns of the contract")
+            out.append(f"{kind} {name} is no mapping")
+        elif config.get("enabled") and name not in registry:
+            out.append(f"{kind} {name} is not registered (there are {', '.join(registry.names())})")
+        elif config.get("enabled"):
+            try:
+                whole = registry[name].config(config)
+            except ConfigError as e:
+                out.append(str(e))
+            else:
+                if "companies_file" in whole and not whole["companies_file"] and not whole["path"]:
+                    out.append(f"{kind} {name} has neither path nor companies_file")
     return out
 
 
-def companies(path: Path, kind: str) -> list[str]:
-    """The boards listed for a kind of feed, stripped, without blanks; none if the kind is missing."""
-    return [s for s in (str(x).strip() for x in read_config(path).get(kind) or []) if s]
-
-
-def settings(prefix: str = "VACANTIA_") -> dict[str, str]:
-    """Settings from the environment, without their prefix, in lower case."""
-    return {k[len(prefix) :].lower(): v for k, v in os.environ.items() if k.startswith(prefix)}
+def preset_issues(preset: dict) -> list[str]:
+    """What a preset lacks or says wrongly, all of it."""
+    out = [] if isinstance(preset.get("preset_id"), str) and preset.get("preset_id") else ["preset_id is missing"]
+    for kind, block, registry, needed in (("source", "sources", ADAPTERS, True), ("benchmark", "benchmarks", BENCHMARKS, False)):
+        if isinstance(preset.get(block), dict):
+            out += _block_issues(kind, preset[block], registry)
+        elif needed or preset.get(block) is not None:
+            out.append(f"{block} is no mapping")
+    try:
+        publish._gate(preset)
+    except publish.GateError as e:
+        out.append(str(e))
+    published = preset.get("publish") or {}
+    if not isinstance(published, dict):
+        return [*out, "publish is no mapping"]
+    by = published.get("partition_by") or []
+    if not isinstance(by, list) or set(by) - set(schemas.POSTING.names) - {"year_month"}:
+        out.append("publish.partition_by names no columns of the contract")
+    return out
 
 
 def new_run(preset_id: str, now: datetime | None = None) -> str:
@@ -128,7 +128,7 @@ def fetch(spark: SparkSession, preset: dict, data: Path, run: str | None = None)
     run = run or new_run(preset["preset_id"])
     out = data / "raw" / run
     done: list[DataFrame] = []
-    for name in publish.enabled(preset["sources"]):
+    for name in publish.switched_on(preset, "sources"):
         if name not in ADAPTERS:
             log.warning("unknown source %s", name)
             continue
@@ -159,6 +159,39 @@ def write_benchmark(rows: DataFrame, data: Path, name: str, run: str) -> Path |
     return out
 
 
+def fetch_benchmarks(spark: SparkSession, preset: dict, data: Path, rates: Callable[[], DataFrame], now: datetime | None = None) -> list[Path]:
+    """The enabled benchmarks that are due, each below ``data/raw/benchmarks/<name>``; the paths written.
+
+    A benchmark that is unknown, misconfigured, fails, breaks its contract or has no rows is logged and left out, and
+    what was fetched of it before stands. ``rates`` is asked once, when the first one is fetched. None at all is no error."""
+    at = now or datetime.now(timezone.utc)
+    written: list[Path] = []
+    known: DataFrame | None = None
+    for name in publish.switched_on(preset, "benchmarks"):
+        if name not in BENCHMARKS:
+            log.warning("unknown benchmark %s", name)
+            continue
+        try:
+            hours = BENCHMARKS[name].config(preset["benchmarks"][name])["min_interval_hours"]
+            before = max((p.stat().st_mtime for p in (data / "raw" / "benchmarks" / name).glob("*.parquet")), default=None)
+            if not due(None if before is None else datetime.fromtimestamp(before, timezone.utc), hours, at):
+                log.info("benchmark %s is not due yet", name)
+                continue
+            known = rates() if known is None else known
+            # written (or read in whole) once, so that a failure comes up here
+            rows = cut_lineage(BENCHMARKS[name](spark, preset["benchmarks"][name], rates=known, retrieved=at.replace(tzinfo=None).isoformat(sep=" ")))
+            if rows.isEmpty():
+                log.warning("benchmark %s has no rows", name)
+                continue
+            out = write_benchmark(rows, data, name, new_run(name, at).split("__")[1])
+        except Exception as e:  # noqa: BLE001 one benchmark's failure is no other's
+            log.warning("benchmark %s failed: %s", name, redact(str(e))[:500])
+            continue
+        if out is not None:
+            written.append(out)
+    return written
+
+
 def newest_benchmarks(spark: SparkSession, data: Path) -> DataFrame | None:
     """The newest file of every benchmark there is, together; None if there is none."""
     frames = []

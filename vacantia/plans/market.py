@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from vacantia.functions import lookup, text
 from vacantia.operators import cube, dashboard, normalise, similarity
 from vacantia.operators.quantile import exact_quantile
 from vacantia.runtime import once, table
-from vacantia.sources import boards
+from vacantia.sources import boards, statistics
+from vacantia.sources import labels as label_list
 
 NOW = "2025-10-01 00:00:00"
 ALLOWED = ["ie", "gb", "de", "fr", "nl", "se", "remote-europe"]
@@ -113,15 +116,15 @@ def date_span(spark, d):
 
 
 def live_kpi(spark, d):
-    return dashboard.key_figures(_chosen(spark, d))
+    return dashboard.key_figures(dash(spark, d))
 
 
 def salary_rows(spark, d):
-    return dashboard.salaries(_chosen(spark, d))
+    return dashboard.salaries(dash(spark, d))
 
 
 def salary_histogram(spark, d):
-    return dashboard.histogram(_chosen(spark, d), 0.0, 240_000.0, 24)
+    return dashboard.histogram(dash(spark, d), 0.0, 240_000.0, 24)
 
 
 def median_by_country(spark, d):
@@ -133,7 +136,7 @@ def top_titles(spark, d):
 
 
 def isco_mix(spark, d):
-    return dashboard.major_mix(_chosen(spark, d))
+    return dashboard.major_mix(dash(spark, d))
 
 
 def isco_labelled(spark, d):
@@ -146,11 +149,11 @@ def heatmap_having(spark, d):
 
 
 def weekly_cadence(spark, d):
-    return dashboard.weekly_cadence(_chosen(spark, d))
+    return dashboard.weekly_cadence(dash(spark, d))
 
 
 def source_counts(spark, d):
-    return dashboard.source_counts(_chosen(spark, d))
+    return dashboard.source_counts(dash(spark, d))
 
 
 def coverage(spark, d):
@@ -241,28 +244,33 @@ def wage_buckets(spark, d):
     return labels(spark, d).select("isco_code").distinct().select("isco_code", lookup.wage_bucket(F.col("isco_code")).alias("bucket"))
 
 
+def _posted():
+    """When a posting was published, as seconds since 1970."""
+    return F.unix_seconds("posted_at").alias("posted_s")
+
+
 def search_rows(spark, d):
     """A1, C1, C2, J10."""
     r = boards.search_pages(table(spark, d, "search_page1"), F.lit(NOW).cast("timestamp"), F.regexp_extract("slug", "([a-z]{2})$", 1))
-    return boards.kept(r).select("posting_id", "title", "company", "country", "salary_min_eur", "salary_annual_eur_p50", "salary_imputed", "posting_url")
+    return boards.kept(r).select("posting_id", "title", "company", "country", "salary_min_eur", "salary_annual_eur_p50", "salary_imputed", "posting_url", _posted())
 
 
 def intercom_rows(spark, d):
     """A3, C3, D3, D4, G1."""
     r = boards.intercom_board(table(spark, d, "board_intercom"), F.lit(NOW).cast("timestamp"), ALLOWED)
-    return boards.kept(r, KEYWORDS).select("posting_id", "title", "location_raw", "country", "remote", "posting_url")
+    return boards.kept(r, KEYWORDS).select("posting_id", "title", "location_raw", "country", "remote", "posting_url", _posted())
 
 
 def palantir_rows(spark, d):
     """A4, C4."""
     r = boards.palantir_postings(table(spark, d, "postings_palantir"), F.lit(NOW).cast("timestamp"), ALLOWED)
-    return boards.kept(r).select("posting_id", "title", "location_raw", "country", "remote", "posting_url")
+    return boards.kept(r).select("posting_id", "title", "location_raw", "country", "remote", "posting_url", _posted())
 
 
 def notion_rows(spark, d):
     """A5, C5, C6, C7, C8, G5."""
     r = boards.notion_board(table(spark, d, "board_notion"), F.lit(NOW).cast("timestamp"), ALLOWED)
-    return boards.kept(r).select("posting_id", "title", "country", "remote", "salary_min_eur", "salary_max_eur", "salary_imputed")
+    return boards.kept(r).select("posting_id", "title", "country", "remote", "salary_min_eur", "salary_max_eur", "salary_imputed", _posted())
 
 
 def union_by_name(spark, d):
@@ -278,21 +286,67 @@ def redaction(spark, d):
     return postings(spark, d).select("posting_id", text.redacted(url).alias("url"))
 
 
+def _jsonstat(cells: DataFrame, dims: dict[str, str], value: str) -> DataFrame:
+    """text: ``cells`` as one JSON-stat document, with ``dims`` naming the column of each dimension.
+
+    One row holds the whole cube: as many cells as its dimensions' codes allow, whatever the rows they were made from."""
+    cols = list(dims.values())
+    codes = cells.agg(*[F.sort_array(F.collect_set(c)).alias(f"_{c}") for c in cols])
+    # one row
+    flat = cells.join(F.broadcast(codes), F.size(f"_{cols[0]}") > 0)
+    pos = F.lit(0)
+    for c in cols:
+        pos = pos * F.size(f"_{c}") + F.array_position(f"_{c}", F.col(c)) - 1
+    whole = flat.agg(F.map_from_entries(F.collect_list(F.struct(pos.cast("string"), F.col(value).cast("double")))).alias("value"), *[F.first(f"_{c}").alias(f"_{c}") for c in cols])
+    dimension = F.struct(*[F.struct(F.struct(F.col(f"_{c}").alias("index")).alias("category")).alias(name) for name, c in dims.items()])
+    doc = F.struct(F.array(*[F.lit(n) for n in dims]).alias("id"), F.array(*[F.size(f"_{c}") for c in cols]).alias("size"), dimension.alias("dimension"), "value")
+    return whole.select(F.to_json(doc).alias("text"))
+
+
 def cube_decode(spark, d):
     """Postings by country, major group and year, written as a JSON-stat cube and read again."""
     x = postings(spark, d).filter("isco_code IS NOT NULL").select("country", lookup.major_of(F.col("isco_code")).alias("major"), F.year("posted_at").cast("string").alias("year"))
     counts = x.groupBy("country", "major", "year").agg(F.count("*").alias("n"))
-    dims = x.agg(*[F.sort_array(F.collect_set(c)).alias(f"{c}s") for c in ("country", "major", "year")])
-    # one row holds the whole cube: as many cells as its dimensions' codes allow, whatever the rows
-    flat = counts.join(F.broadcast(dims), F.size("countrys") > 0).withColumn("pos", ((F.array_position("countrys", F.col("country")) - 1) * F.size("majors") + F.array_position("majors", F.col("major")) - 1) * F.size("years") + F.array_position("years", F.col("year")) - 1)
-    values = flat.agg(F.map_from_entries(F.collect_list(F.struct(F.col("pos").cast("string"), F.col("n").cast("double")))).alias("value"), *[F.first(c).alias(c) for c in ("countrys", "majors", "years")])
+    cells = cube.jsonstat_cells(_jsonstat(counts, {k: k for k in ("country", "major", "year")}, "n"), "text")
+    return cells.select(F.col("coords")["country"].alias("country"), F.col("coords")["major"].alias("major"), F.col("coords")["year"].alias("year"), F.col("value").cast("bigint").alias("n"))
 
-    def dimension(c: str):
-        return F.struct(F.struct(F.col(c).alias("index")).alias("category"))
 
-    cube_json = F.to_json(F.struct(F.array(F.lit("country"), F.lit("major"), F.lit("year")).alias("id"), F.array(*[F.size(c) for c in ("countrys", "majors", "years")]).alias("size"), F.struct(dimension("countrys").alias("country"), dimension("majors").alias("major"), dimension("years").alias("year")).alias("dimension"), "value"))
-    cells = cube.jsonstat_cells(values.select(cube_json.alias("text")), "text")
-    return cells.select(F.col("coords")["country"].alias("country"), F.col("coords")["major"].alias("major"), F.col("coords")["year"].alias("year"), F.col("value").cast("bigint").alias("n"))
+def cso_rows(spark, d):
+    """Counts by wage bucket and quarter as a cube of weekly wages, for every code of the label list."""
+    x = postings(spark, d).filter("isco_code IS NOT NULL AND posted_at IS NOT NULL").select(F.concat(F.year("posted_at"), F.quarter("posted_at")).alias("quarter"), F.coalesce(lookup.wage_bucket(F.col("isco_code")), F.lit("0")).alias("bucket"))
+    counts = x.groupBy("quarter", "bucket").agg(F.count("*").alias("n")).withColumns({"statistic": F.lit("EHQ03C02"), "sector": F.lit("-")})
+    cells = cube.jsonstat_cells(_jsonstat(counts, {statistics.STATISTIC: "statistic", "TLIST(Q1)": "quarter", statistics.SECTOR: "sector", statistics.BUCKET: "bucket"}, "n"), "text")
+    rows = cube.weekly_wages(cells, labels(spark, d), statistics.QUARTER, (statistics.SECTOR, "-"), statistics.BUCKET, (statistics.STATISTIC, "EHQ03C02"), "https://cube.example", NOW)
+    return rows.select("isco_code", "country", "period", "currency", "median_eur", "source")
+
+
+def eurostat_rows(spark, d):
+    """Counts by code, country and year as a cube of yearly pay, for the allowed countries."""
+    x = postings(spark, d).filter("isco_code IS NOT NULL AND posted_at IS NOT NULL").select(F.concat(F.lit("OC"), "isco_code").alias("code"), F.lower("country").alias("geo"), F.year("posted_at").cast("string").alias("time"))
+    cells = cube.jsonstat_cells(_jsonstat(x.groupBy("code", "geo", "time").agg(F.count("*").alias("n")), {"isco08": "code", "geo": "geo", "time": "time"}, "n"), "text")
+    rows = cube.yearly_pay(cells, [], [c for c in ALLOWED if len(c) == 2], "isco08", "geo", "time", "https://cube.example", NOW)
+    return rows.select("isco_code", "country", "period", "currency", "median_eur", "source")
+
+
+def oecd_rows(spark, d):
+    """Counts by code, country and year as SDMX observations with currencies, brought to euros."""
+    x = postings(spark, d).filter("isco_code IS NOT NULL AND posted_at IS NOT NULL AND country IS NOT NULL").select("isco_code", "country", F.year("posted_at").cast("string").alias("year"), lookup.currency_of(F.col("country")).alias("currency"))
+    counts = x.filter("currency IS NOT NULL").groupBy("isco_code", "country", "year", "currency").agg(F.count("*").alias("n"))
+    cols = {"ISCO08": "isco_code", "REF_AREA": "country", "TIME_PERIOD": "year", "UNIT_MEASURE": "currency"}
+    codes = counts.agg(*[F.sort_array(F.collect_set(c)).alias(f"_{c}") for c in cols.values()])
+    at = {c: F.array_position(f"_{c}", F.col(c)) - 1 for c in cols.values()}
+    # one row, as in _jsonstat
+    flat = counts.join(F.broadcast(codes), F.size("_year") > 0)
+    seen = F.map_from_entries(F.collect_list(F.struct(F.concat_ws(":", at["isco_code"], at["country"], at["year"]), F.array(F.col("n").cast("double"), at["currency"].cast("double")))))
+    whole = flat.agg(seen.alias("observations"), *[F.first(f"_{c}").alias(f"_{c}") for c in cols.values()])
+
+    def listed(names: list[str]):
+        return F.struct(F.array(*[F.struct(F.lit(n).alias("id"), F.transform(f"_{cols[n]}", lambda v: F.struct(v.alias("id"))).alias("values")) for n in names]).alias("observation"))
+
+    structure = F.struct(listed(["ISCO08", "REF_AREA", "TIME_PERIOD"]).alias("dimensions"), listed(["UNIT_MEASURE"]).alias("attributes"))
+    doc = F.struct(F.struct(F.array(structure).alias("structures"), F.array(F.struct("observations")).alias("dataSets")).alias("data"))
+    observed = cube.observed_pay(cube.sdmx_observations(whole.select(F.to_json(doc).alias("text")), "text"), [], [], "https://cube.example", NOW)
+    return normalise.benchmarks_to_euros(observed, rates(spark, d)).select("isco_code", "country", "period", "currency", F.round("median_eur", 6).alias("median_eur"), "source")
 
 
 def history_first_last_seen(spark, d):
@@ -331,10 +385,12 @@ def skill_pay(spark, d):
 
 
 def concept_walk(spark, d):
-    """All parts below each country's region, by a recursive walk over an edge table."""
-    nation, region = table(spark, d, "nation"), table(spark, d, "region")
-    edges = region.select(F.lit("world").alias("parent"), F.concat(F.lit("r"), "r_regionkey").alias("child")).unionByName(nation.select(F.concat(F.lit("r"), "n_regionkey").alias("parent"), F.concat(F.lit("n"), "n_nationkey").alias("child")))
-    return spark.sql("WITH RECURSIVE walk(node, depth) AS (SELECT 'world', 0 UNION ALL SELECT e.child, w.depth + 1 FROM walk w JOIN {edges} e ON e.parent = w.node) SELECT node, depth FROM walk", edges=edges)
+    """The label list as a tree of concepts (digit by digit), walked from its root; the labels at four-digit leaves."""
+    x = labels(spark, d).filter("isco_code RLIKE '^[0-9]{4}$' AND label IS NOT NULL")
+    uri = lambda n: F.concat(F.lit("https://concepts.example/isco/C"), F.substring("isco_code", 1, n))
+    edges = reduce(DataFrame.unionByName, [x.select(uri(n - 1).alias("parent"), uri(n).alias("child")) for n in (1, 2, 3, 4)]).distinct()
+    own, more = (x.filter(F.col("label_kind") == kind).select(uri(4).alias(to), F.col("label").alias("title")) for kind, to in (("preferred", "uri"), ("alt", "parent")))
+    return label_list.from_concepts(own, edges, more, "https://concepts.example/isco/C")
 
 
 def prebaked(spark, d):
@@ -347,5 +403,5 @@ QUERIES = {f.__name__: f for f in (
     fx_convert, fx_unresolved, midpoint, recency_floor, normalised, benchmark_fx, benchmark_overlay, year_month, dashboard_extract, filter_global, distinct_country, distinct_major, date_span, live_kpi, salary_rows,
     salary_histogram, median_by_country, top_titles, isco_mix, isco_labelled, heatmap_having, weekly_cadence, source_counts, coverage, manifest_counts, match_rate, validate_counts, canonical_url, dedupe_keys, dedupe_keep_first,
     keep_first_id, posting_id_sha1, title_clean, keyword_filter, match_country, token_subset_match, fuzzy_match_top1, label_order, label_stats, wage_buckets, search_rows, intercom_rows, palantir_rows, notion_rows, union_by_name,
-    redaction, cube_decode, history_first_last_seen, closed_postings, new_since_previous, experience_level, work_arrangement, skill_pay, concept_walk, prebaked,
+    redaction, cube_decode, cso_rows, eurostat_rows, oecd_rows, history_first_last_seen, closed_postings, new_since_previous, experience_level, work_arrangement, skill_pay, concept_walk, prebaked,
 )}

@@ -92,6 +92,22 @@ _NOTION_PLACE = _some("j->>'$.location'", "j->>'$.locationName'")
 _FACTOR = "CASE lower(trim(p->>'$.interval')) " + " ".join(f"WHEN '{k}' THEN {lookup.PER_YEAR[v]}" for k, v in lookup.INTERVALS.items()) + " END"
 _HOME_CUR = _case("c", lookup.CURRENCIES)
 
+# The zones that short names stand for in the engine.
+_ZONES = {"UTC": "UTC", "GMT": "UTC", "CET": "CET", "EST": "Etc/GMT+5", "PST": "America/Los_Angeles", "CST": "America/Chicago", "BST": "Asia/Dhaka"}
+
+
+def _seconds(v: str) -> str:
+    """Seconds since 1970 of an ISO text, with or without time and zone; null for other texts."""
+    m = rf"regexp_extract({_strip(v)}, '^(\d{{4}}-\d\d-\d\d)(?:[T ](\d\d:\d\d(?::\d\d)?)(?:\.\d+)?(?: ?(Z|[+-]\d\d(?::?\d\d)?|{'|'.join(_ZONES)}))?)?$', ['d', 't', 'z'])"
+    wall = f"try_cast({m}.d || ' ' || CASE length({m}.t) WHEN 0 THEN '00:00:00' WHEN 5 THEN {m}.t || ':00' ELSE {m}.t END AS TIMESTAMP)"
+    off = f"CASE WHEN {m}.z IN ('', 'Z') THEN 0 ELSE (CASE {m}.z[1] WHEN '-' THEN -1 ELSE 1 END) * (CAST({m}.z[2:3] AS INT) * 3600 + CAST(coalesce(nullif(replace({m}.z, ':', '')[4:5], ''), '0') AS INT) * 60) END"
+    return f"CAST(CASE WHEN {m}.z ~ '^[A-Y]' THEN epoch(timezone({_case(m + '.z', _ZONES, 'NULL')}, {wall})) ELSE epoch({wall}) - {off} END AS BIGINT)"
+
+
+_NOW_S = f"CAST(epoch(TIMESTAMPTZ '{market.NOW}+00') AS BIGINT)"
+_COUNTED = "coded AS (SELECT *, CAST(year(posted_at) AS VARCHAR) AS y FROM postings WHERE isco_code IS NOT NULL AND posted_at IS NOT NULL)"
+_BUCKET = "CASE WHEN substr(isco_code, 1, 1) IN ('1', '2', '3') THEN '1' WHEN substr(isco_code, 1, 1) IN ('4', '5') THEN '2' WHEN substr(isco_code, 1, 1) IN ('6', '7', '8', '9') THEN '3' END"
+
 SQL = {
     "fx_convert": f"SELECT posting_id, lo AS salary_min_eur, hi AS salary_max_eur, mid AS salary_annual_eur_p50 FROM ({_EUROS})",
     "fx_unresolved": f"SELECT array_to_string(list_sort(list(DISTINCT coalesce({_CUR}, '?'))), ',') AS currencies, count(*) AS n_rows FROM postings WHERE coalesce({_CUR}, '?') NOT IN ('EUR', 'GBP')",
@@ -107,16 +123,16 @@ SQL = {
     "distinct_country": f"{_DASH} SELECT DISTINCT country FROM dash WHERE country IS NOT NULL",
     "distinct_major": f"{_DASH} SELECT DISTINCT isco_major FROM dash WHERE isco_major IS NOT NULL",
     "date_span": f"{_DASH} SELECT min(posted_at) AS first_posted, max(posted_at) AS last_posted FROM dash",
-    "live_kpi": f"{_CHOSEN} SELECT count(*)::INT AS n_postings, count(salary_annual_eur_p50)::INT AS n_salary, count(isco_code)::INT AS n_isco FROM chosen",
-    "salary_rows": f"{_CHOSEN} SELECT salary_annual_eur_p50 FROM chosen WHERE salary_annual_eur_p50 IS NOT NULL",
-    "salary_histogram": f"{_CHOSEN} SELECT CAST(floor(salary_annual_eur_p50 / 10000) AS INT) AS bin, count(*) AS n FROM chosen WHERE salary_annual_eur_p50 >= 0 AND salary_annual_eur_p50 < 240000 GROUP BY 1",
+    "live_kpi": f"{_DASH} SELECT count(*)::INT AS n_postings, count(salary_annual_eur_p50)::INT AS n_salary, count(isco_code)::INT AS n_isco FROM dash",
+    "salary_rows": f"{_DASH} SELECT salary_annual_eur_p50 FROM dash WHERE salary_annual_eur_p50 IS NOT NULL",
+    "salary_histogram": f"{_DASH} SELECT CAST(floor(salary_annual_eur_p50 / 10000) AS INT) AS bin, count(*) AS n FROM dash WHERE salary_annual_eur_p50 >= 0 AND salary_annual_eur_p50 < 240000 GROUP BY 1",
     "median_by_country": f"{_DASH} SELECT country, quantile_cont(salary_annual_eur_p50, 0.5) AS p50, count(salary_annual_eur_p50)::INT AS n FROM dash WHERE country IS NOT NULL AND (salary_annual_eur_p50 IS NULL OR salary_annual_eur_p50 BETWEEN 0 AND 250000) GROUP BY 1",
     "top_titles": f"{_DASH} SELECT title, count(*) AS n FROM dash WHERE title IS NOT NULL GROUP BY 1 ORDER BY n DESC, title LIMIT 15",
-    "isco_mix": f"{_CHOSEN} SELECT coalesce(isco_major, '∅') AS isco_major, count(*) AS n FROM chosen GROUP BY 1",
+    "isco_mix": f"{_DASH} SELECT coalesce(isco_major, '∅') AS isco_major, count(*) AS n FROM dash GROUP BY 1",
     "isco_labelled": f"{_DASH} SELECT CASE WHEN isco_major IS NULL THEN 'Unclassified' ELSE {_case('isco_major', lookup.MAJORS, "'ISCO ' || isco_major")} END AS major, n FROM (SELECT isco_major, count(*) AS n FROM dash GROUP BY 1)",
     "heatmap_having": f"{_DASH} SELECT country, isco_major, quantile_cont(salary_annual_eur_p50, 0.5) AS p50, count(*)::INT AS n FROM dash WHERE country IS NOT NULL AND isco_major IS NOT NULL AND salary_annual_eur_p50 IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 3",
-    "weekly_cadence": f"{_CHOSEN} SELECT date_trunc('week', posted_at)::DATE AS week, count(*)::INT AS n FROM chosen WHERE posted_at IS NOT NULL GROUP BY 1",
-    "source_counts": f"{_CHOSEN} SELECT source, count(*) AS n FROM chosen GROUP BY 1",
+    "weekly_cadence": f"{_DASH} SELECT date_trunc('week', posted_at)::DATE AS week, count(*)::INT AS n FROM dash WHERE posted_at IS NOT NULL GROUP BY 1",
+    "source_counts": f"{_DASH} SELECT source, count(*) AS n FROM dash GROUP BY 1",
     "coverage": f"{_DASH} SELECT round(100 * count(salary_annual_eur_p50) / count(*))::INT AS pct_salary, round(100 * count(isco_code) / count(*))::INT AS pct_isco, round(100 * count(*) FILTER (coalesce(isco_match_method, 'none') <> 'none') / count(*))::INT AS pct_method FROM dash",
     "manifest_counts": " UNION ALL ".join(f"SELECT '{k}' AS kind, {k} AS value, count(*) AS n FROM postings WHERE {k} IS NOT NULL GROUP BY {k}" for k in ("source", "country", "isco_match_method")),
     "match_rate": "SELECT count(isco_code) AS matched, count(*) AS total, round(count(isco_code) / count(*), 6) AS share FROM postings",
@@ -133,15 +149,15 @@ SQL = {
     "label_order": f"WITH {_LABELS} SELECT isco_code, label, label_idx FROM listed WHERE key <> ''",
     "label_stats": "SELECT count(*) AS n_labels, count(DISTINCT isco_code) AS n_codes, count(*) FILTER (label_kind = 'preferred') AS n_preferred, count(*) FILTER (NOT regexp_matches(isco_code, '^[0-9]{4}$')) AS n_bad FROM isco_labels",
     "wage_buckets": "SELECT DISTINCT isco_code, CASE WHEN substr(isco_code, 1, 1) IN ('1', '2', '3') THEN '1' WHEN substr(isco_code, 1, 1) IN ('4', '5') THEN '2' WHEN substr(isco_code, 1, 1) IN ('6', '7', '8', '9') THEN '3' END AS bucket FROM isco_labels",
-    "search_rows": f"WITH r AS (SELECT slug, unnest(results) AS r FROM search_page1) SELECT DISTINCT sha1('adzuna:' || r.id) AS posting_id, {_strip('r.title')} AS title, r.company.display_name AS company, upper(regexp_extract(slug, '([a-z]{{2}})$', 1)) AS country, r.salary_min AS salary_min_eur, (r.salary_min + r.salary_max) / 2 AS salary_annual_eur_p50, try_cast(r.salary_is_predicted AS INT) <> 0 AS salary_imputed, r.redirect_url AS posting_url FROM r WHERE {_strip('r.id')} <> '' AND starts_with(r.redirect_url, 'http')",
-    "intercom_rows": f"WITH j AS (SELECT slug, unnest(jobs) AS j FROM board_intercom), p AS (SELECT slug, j, {_OFFICE} AS location_raw FROM j WHERE j.id IS NOT NULL), m AS (SELECT *, {_PLACE} AS country, {_REMOTE} AS remote FROM p) SELECT DISTINCT sha1('greenhouse:' || coalesce(slug, '') || ':' || j.id) AS posting_id, j.title AS title, location_raw, country, remote, j.absolute_url AS posting_url FROM m WHERE country IS NOT NULL AND starts_with(j.absolute_url, 'http') AND {_tells('lower(j.title)', market.KEYWORDS)}",
-    "palantir_rows": f"WITH p AS (SELECT *, categories.location AS location_raw, coalesce(nullif(hostedUrl, ''), applyUrl) AS posting_url FROM postings_palantir WHERE {_strip('id')} <> ''), m AS (SELECT *, {_PLACE} AS country, {_REMOTE} AS remote FROM p) SELECT DISTINCT sha1('lever:' || coalesce(slug, '') || ':' || id) AS posting_id, text AS title, location_raw, country, remote, posting_url FROM m WHERE country IS NOT NULL AND starts_with(posting_url, 'http')",
+    "search_rows": f"WITH r AS (SELECT slug, unnest(results) AS r FROM search_page1) SELECT DISTINCT sha1('adzuna:' || r.id) AS posting_id, {_strip('r.title')} AS title, r.company.display_name AS company, upper(regexp_extract(slug, '([a-z]{{2}})$', 1)) AS country, r.salary_min AS salary_min_eur, (r.salary_min + r.salary_max) / 2 AS salary_annual_eur_p50, try_cast(r.salary_is_predicted AS INT) <> 0 AS salary_imputed, r.redirect_url AS posting_url, {_seconds('r.created')} AS posted_s FROM r WHERE {_strip('r.id')} <> '' AND starts_with(r.redirect_url, 'http')",
+    "intercom_rows": f"WITH j AS (SELECT slug, unnest(jobs) AS j FROM board_intercom), p AS (SELECT slug, j, {_OFFICE} AS location_raw FROM j WHERE j.id IS NOT NULL), m AS (SELECT *, {_PLACE} AS country, {_REMOTE} AS remote FROM p) SELECT DISTINCT sha1('greenhouse:' || coalesce(slug, '') || ':' || j.id) AS posting_id, j.title AS title, location_raw, country, remote, j.absolute_url AS posting_url, coalesce({_seconds('j.updated_at')}, {_NOW_S}) AS posted_s FROM m WHERE country IS NOT NULL AND starts_with(j.absolute_url, 'http') AND {_tells('lower(j.title)', market.KEYWORDS)}",
+    "palantir_rows": f"WITH p AS (SELECT *, categories.location AS location_raw, coalesce(nullif(hostedUrl, ''), applyUrl) AS posting_url FROM postings_palantir WHERE {_strip('id')} <> ''), m AS (SELECT *, {_PLACE} AS country, {_REMOTE} AS remote FROM p) SELECT DISTINCT sha1('lever:' || coalesce(slug, '') || ':' || id) AS posting_id, text AS title, location_raw, country, remote, posting_url, coalesce(CAST(floor(try_cast(CASE WHEN regexp_full_match({_strip('createdAt')}, '[0-9]+') THEN {_strip('createdAt')} END AS BIGINT) / 1000) AS BIGINT), {_seconds('createdAt')}, {_NOW_S}) AS posted_s FROM m WHERE country IS NOT NULL AND starts_with(posting_url, 'http')",
     "notion_rows": f"""WITH {JOBS_SQL}, o AS (SELECT slug, j, {_NOTION_PLACE} AS location_raw, {unwrapped_sql("json_extract(j, '$.compensation')")} AS pay FROM jobs WHERE json_type(j) = 'OBJECT' AND {_strip("j->>'$.id'")} <> ''),
       m AS (SELECT *, {_PLACE} AS c, {_REMOTE} AS far FROM o), t AS (SELECT *, {items_sql("json_extract(pay, '$.compensationTiers')")} AS tiers FROM m WHERE c IS NOT NULL AND starts_with(j->>'$.jobUrl', 'http')),
       p AS (SELECT * EXCLUDE tiers, flatten(list_transform(tiers, lambda t: {items_sql("json_extract(t, '$.components')")})) AS parts FROM t),
       f AS (SELECT *, list_filter(parts, lambda p: lower(trim(p->>'$.componentType')) IN ('salary', 'base salary') AND upper(p->>'$.currencyCode') = {_HOME_CUR} AND {_FACTOR} IS NOT NULL AND try_cast(p->>'$.minValue' AS DOUBLE) IS NOT NULL AND try_cast(p->>'$.maxValue' AS DOUBLE) IS NOT NULL)[1] AS p FROM p)
       SELECT DISTINCT sha1('ashby:' || coalesce(slug, '') || ':' || (j->>'$.id')) AS posting_id, j->>'$.title' AS title, c AS country, coalesce(try_cast(j->>'$.isRemote' AS BOOLEAN), false) OR far AS remote,
-        try_cast(p->>'$.minValue' AS DOUBLE) * {_FACTOR} AS salary_min_eur, try_cast(p->>'$.maxValue' AS DOUBLE) * {_FACTOR} AS salary_max_eur, CASE WHEN p IS NOT NULL THEN false END AS salary_imputed FROM f""",
+        try_cast(p->>'$.minValue' AS DOUBLE) * {_FACTOR} AS salary_min_eur, try_cast(p->>'$.maxValue' AS DOUBLE) * {_FACTOR} AS salary_max_eur, CASE WHEN p IS NOT NULL THEN false END AS salary_imputed, coalesce({_seconds("j->>'$.publishedAt'")}, {_seconds("j->>'$.updatedAt'")}, {_NOW_S}) AS posted_s FROM f""",
     "union_by_name": "SELECT slug, text AS title, hostedUrl AS url FROM postings_palantir UNION ALL BY NAME SELECT slug, j.title AS title, j.location.name AS place FROM (SELECT slug, unnest(jobs) AS j FROM board_intercom)",
     "redaction": r"""SELECT posting_id, regexp_replace(posting_url || '&app_id=abc&APP_KEY=x''y', '(?i)\b(app_id|app_key|api_key|api-key)=[^&\s''"]+', '\1=REDACTED', 'g') AS url FROM postings""",
     "cube_decode": "SELECT country, substr(isco_code, 1, 1) AS major, CAST(year(posted_at) AS VARCHAR) AS year, count(*) AS n FROM postings WHERE isco_code IS NOT NULL GROUP BY ALL",
@@ -151,6 +167,9 @@ SQL = {
     "experience_level": f"SELECT posting_id, {_LEVELS} AS experience_level, {_HOW} AS experience_method FROM postings",
     "work_arrangement": f"SELECT posting_id, {_ARRANGED} AS work_arrangement FROM postings",
     "skill_pay": "WITH s AS (SELECT unnest([" + _q(market.SKILLS) + "]) AS skill) SELECT skill, quantile_cont(salary_annual_eur_p50, 0.5) AS p50, count(*) AS n FROM postings, s WHERE salary_annual_eur_p50 IS NOT NULL AND regexp_matches(lower(raw_payload), '(^|[^\\p{L}\\p{N}])' || skill || '($|[^\\p{L}\\p{N}])') GROUP BY 1",
-    "concept_walk": "SELECT 'world' AS node, 0 AS depth UNION ALL SELECT 'r' || r_regionkey, 1 FROM region UNION ALL SELECT 'n' || n_nationkey, 2 FROM nation",
+    "concept_walk": "SELECT isco_code, label, label_kind FROM isco_labels WHERE regexp_full_match(isco_code, '[0-9]{4}') AND trim(label) <> '' AND label_kind IN ('preferred', 'alt') QUALIFY row_number() OVER (PARTITION BY isco_code, lower(label) ORDER BY label_kind, label) = 1",
+    "cso_rows": f"WITH {_COUNTED}, q AS (SELECT y || quarter(posted_at) AS period, {_BUCKET} AS bucket FROM coded), n AS (SELECT bucket, period, count(*) AS n FROM q WHERE period = (SELECT max(period) FROM q) GROUP BY ALL) SELECT isco_code, 'IE' AS country, period, 'EUR' AS currency, n * 52.0 AS median_eur, 'cso' AS source FROM (SELECT DISTINCT isco_code, {_BUCKET} AS bucket FROM isco_labels) JOIN n USING (bucket)",
+    "eurostat_rows": f"WITH {_COUNTED} SELECT isco_code, country, y AS period, 'EUR' AS currency, CAST(count(*) AS DOUBLE) AS median_eur, 'eurostat' AS source FROM coded WHERE y = (SELECT max(y) FROM coded WHERE country IS NOT NULL) AND lower(country) IN ({_q([c for c in market.ALLOWED if len(c) == 2])}) AND regexp_full_match(isco_code, '[0-9]{{4}}') GROUP BY ALL",
+    "oecd_rows": f"WITH {_COUNTED}, c AS (SELECT isco_code, country, y, {_CUR} AS cur, count(*) AS n FROM coded WHERE country IS NOT NULL GROUP BY ALL) SELECT isco_code, country, y AS period, 'EUR' AS currency, round(n / CASE cur WHEN 'EUR' THEN 1.0 ELSE r.rate END, 6) AS median_eur, 'oecd' AS source FROM c LEFT JOIN {_RATES} r ON r.currency = cur WHERE cur IS NOT NULL AND (cur = 'EUR' OR r.rate > 0) AND regexp_full_match(isco_code, '[0-9]{{4}}')",
     "prebaked": f"{_DASH} SELECT country, isco_major, date_trunc('week', posted_at)::DATE AS week, count(*) AS n, count(salary_annual_eur_p50) AS n_salary, round(sum(salary_annual_eur_p50), 2) AS sum_salary FROM dash GROUP BY ALL",
 }

@@ -25,14 +25,18 @@ def get_spark(app: str = "vacantia", master: str | None = None, **conf: str) ->
     builder = SparkSession.builder.appName(app).config(map=settings)
     if master or "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
         builder = builder.master(master or "local[*]")
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever they run: the driver serves it to them, once per application."""
+    """Let Python workers import this package wherever they run: the driver serves it to them, once per application.
+
+    ``get_spark`` does so; operators that use Python workers also call it, for sessions made elsewhere."""
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

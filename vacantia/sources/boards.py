@@ -6,7 +6,6 @@ countries, keywords, an id, a web address) are applied by ``kept``. Element orde
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +17,8 @@ from vacantia.functions import lookup, text
 from vacantia.operators.normalise import keep_first
 from vacantia.runtime import once, strip_blanks
 from vacantia.schemas import POSTING
+from vacantia.sources import live
+from vacantia.sources.registry import OWN, SOURCE, Option, Registry
 
 
 def _posting(df: DataFrame, **values: Column) -> DataFrame:
@@ -111,7 +112,7 @@ def personio_feed(positions: DataFrame, slug: Column, now: Column, allowed: list
     x, place, country, remote = _placed(named, F.col("office"), allowed)
     return _posting(
         x, external_id=F.col("id"), posting_id=text.posting_id("personio", F.col("_slug"), F.col("id")), source=F.lit("personio"), title=F.col("name"), company=F.coalesce("subcompany", "_slug"), location_raw=place, country=country, remote=remote,
-        posted_at=F.coalesce(F.try_to_timestamp("createDate"), now), ingested_at=now, posting_url=F.concat(F.lit("https://"), F.col("_slug"), F.lit(".jobs.personio.de/job/"), F.col("id")), raw_payload=F.to_json(F.struct(*positions.columns)),
+        posted_at=F.coalesce(F.try_to_timestamp("createDate"), now), ingested_at=now, posting_url=F.concat(F.lit("https://"), F.col("_slug"), F.lit(".jobs.personio.de/job/"), F.col("id")), raw_payload=F.to_json(F.struct(*_POSITION.names)),
     )
 
 
@@ -130,67 +131,80 @@ def united(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-#: Feeds by name; an adapter is a function (spark, config) -> DataFrame of the posting contract.
-ADAPTERS: dict[str, Callable[[SparkSession, dict], DataFrame]] = {}
+#: Feeds by name.
+ADAPTERS = Registry()
+register = ADAPTERS.register
 
+_BOARD = SOURCE | OWN | {"companies_file": Option(str), "timeout_seconds": Option(float, 30.0, above=0)}
+_SEARCH = SOURCE | OWN | {
+    "results_per_page": Option(int, 50, least=1, most=50), "max_pages": Option(int, 5, least=1, most=20), "timeout_seconds": Option(float, 30.0, above=0),
+    "max_days_old": Option(int, None, least=1), "min_interval_hours": Option(int, 24, least=0),
+}
 
-def register(name: str):
-    """Make a function an adapter under ``name``; a name may be taken once."""
 
-    def take(f):
-        if name in ADAPTERS:
-            raise ValueError(f"adapter {name} is registered already")
-        if not callable(f):
-            raise TypeError(f"adapter {name} is no function")
-        ADAPTERS[name] = f
-        return f
+def _now(config: dict) -> Column:
+    return F.lit(config["now"]).cast("timestamp") if config["now"] else F.current_timestamp()
 
-    return take
 
+def _texts(spark: SparkSession, kind: str, config: dict) -> DataFrame:
+    """slug and body of a feed: of the files at ``path``, of which each is one envelope, or of its endpoints."""
+    if not config["path"]:
+        return live.answers(spark, kind, config).select("slug", "body")
+    return spark.read.text(config["path"], wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/_.]+)\.\w+$", 1).alias("slug"), F.col("value").alias("body"))
 
-def _now(config: dict) -> Column:
-    return F.lit(config["now"]).cast("timestamp") if config.get("now") else F.current_timestamp()
+
+def _envelopes(spark: SparkSession, kind: str, config: dict, schema: str) -> DataFrame:
+    """The envelopes of a feed, typed: a Parquet folder's, or the texts' as JSON; texts that are none give null members."""
+    if (config["path"] or "").endswith(".parquet"):
+        return spark.read.parquet(config["path"])
+    return _texts(spark, kind, config).select("slug", F.from_json("body", schema).alias("e")).select("slug", "e.*")
 
 
-def _read(spark: SparkSession, config: dict, schema: str) -> DataFrame:
-    """Envelopes of a feed: Parquet folders, or JSON files of which each is one envelope."""
-    path = config["path"]
-    if path.endswith(".parquet"):
-        return spark.read.parquet(path)
-    return spark.read.schema(schema).json(path, multiLine=True).withColumn("slug", F.coalesce("slug", F.regexp_extract(F.input_file_name(), r"([^/_.]+)\.json$", 1)))
+def _kept(rows: DataFrame, config: dict, keywords: bool = True) -> DataFrame:
+    return kept(rows, config["keywords"] if keywords else [], config["max_results"])
 
 
 _JOB = "id bigint, title string, absolute_url string, location struct<name string>, updated_at string, offices array<struct<id bigint, name string, location string>>, departments array<struct<id bigint, name string>>, content string"
 _RESULT = "id string, title string, description string, company struct<display_name string>, location struct<area array<string>, display_name string>, salary_min double, salary_max double, salary_is_predicted string, contract_time string, created string, redirect_url string, latitude double, longitude double"
+_LISTED = "id string, text string, categories struct<location string, commitment string, team string>, createdAt string, hostedUrl string, applyUrl string, descriptionPlain string"
 
 
-@register("adzuna")
+@register("adzuna", _SEARCH)
 def _adzuna(spark: SparkSession, config: dict) -> DataFrame:
-    pages = _read(spark, config, f"slug string, results array<struct<{_RESULT}>>")
-    return kept(search_pages(pages, _now(config), F.regexp_extract("slug", "([a-z]{2})$", 1)), config.get("keywords", []), config.get("max_results"))
+    # the search itself looks for the keywords, also in descriptions
+    pages = _envelopes(spark, "adzuna", config, f"results array<struct<{_RESULT}>>")
+    return _kept(search_pages(pages, _now(config), F.regexp_extract("slug", "([a-z]{2})$", 1)), config, keywords=False)
 
 
-@register("greenhouse")
+@register("greenhouse", _BOARD)
 def _greenhouse(spark: SparkSession, config: dict) -> DataFrame:
-    return kept(intercom_board(_read(spark, config, f"slug string, jobs array<struct<{_JOB}>>"), _now(config), config["countries"]), config.get("keywords", []), config.get("max_results"))
+    return _kept(intercom_board(_envelopes(spark, "greenhouse", config, f"jobs array<struct<{_JOB}>>"), _now(config), config["countries"]), config)
 
 
-@register("lever")
+@register("lever", _BOARD)
 def _lever(spark: SparkSession, config: dict) -> DataFrame:
-    schema = "slug string, id string, text string, categories struct<location string, commitment string, team string>, createdAt string, hostedUrl string, applyUrl string, descriptionPlain string"
-    return kept(palantir_postings(_read(spark, config, schema), _now(config), config["countries"]), config.get("keywords", []), config.get("max_results"))
+    if (config["path"] or "").endswith(".parquet"):
+        rows = spark.read.parquet(config["path"])
+    else:
+        rows = _texts(spark, "lever", config).select("slug", F.inline(F.from_json("body", f"array<struct<{_LISTED}>>")))
+    return _kept(palantir_postings(rows, _now(config), config["countries"]), config)
 
 
-@register("ashby")
+@register("ashby", _BOARD | {"include_compensation": Option(bool, True)})
 def _ashby(spark: SparkSession, config: dict) -> DataFrame:
-    path = config["path"]
-    if path.endswith(".parquet"):
-        boards = spark.read.parquet(path)
+    if (config["path"] or "").endswith(".parquet"):
+        boards = spark.read.parquet(config["path"])
     else:
-        boards = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/_.]+)\.json$", 1).alias("slug"), F.col("value").alias("payload"))
-    return kept(notion_board(boards, _now(config), config["countries"], config.get("include_compensation", True)), config.get("keywords", []), config.get("max_results"))
+        boards = _texts(spark, "ashby", config).withColumnRenamed("body", "payload")
+    return _kept(notion_board(boards, _now(config), config["countries"], config["include_compensation"]), config)
 
 
-@register("personio")
+@register("personio", _BOARD)
 def _personio(spark: SparkSession, config: dict) -> DataFrame:
-    return kept(personio_feed(personio_positions(spark, config["path"]), F.lit(config["slug"]), _now(config), config["countries"]), config.get("keywords", []), config.get("max_results"))
+    if config["path"]:
+        positions, slug = personio_positions(spark, config["path"]), F.lit(config["slug"])
+    else:
+        found = F.from_xml("body", T.StructType([T.StructField("position", T.ArrayType(_POSITION))]))
+        positions = live.answers(spark, "personio", config).select("slug", F.explode(found["position"]).alias("p")).select("p.*", F.col("slug").alias("_slug"))
+        slug = F.col("_slug")
+    return _kept(personio_feed(positions, slug, _now(config), config["countries"]), config)

@@ -1,9 +1,9 @@
 """A Python data source that reads paged HTTP (or file) endpoints, one Spark partition per endpoint.
 
-``spark.read.format("vacantia_http").option("endpoints", json).load()`` gives endpoint, page, status and body. An
-endpoint is ``{"url": ..., "pages": n, "per_page": m, "items": "results"}``; its url may hold ``{page}``. Reading
-stops at an empty or short page; 404 ends an endpoint without rows; other failures are tried again ``tries``
-times with growing pauses and then raise, with credentials blacked out."""
+``spark.read.format("vacantia_http").option("endpoints", json).load()`` gives endpoint, tag, page, status, kind (the
+content's type) and body. An endpoint is ``{"url": ..., "tag": ..., "pages": n, "per_page": m, "items": "results"}``; its
+url may hold ``{page}``, ``tag`` is handed through. Reading stops at an empty or short page; 404 ends an endpoint without rows;
+other failures are tried again ``tries`` times with growing pauses and then raise, with credentials blacked out."""
 
 from __future__ import annotations
 
@@ -13,35 +13,46 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
+from typing import NamedTuple
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-SCHEMA = "endpoint string, page int, status int, body string"
+from vacantia.functions.text import CREDENTIALS
+from vacantia.runtime import ship_package
+
+SCHEMA = "endpoint string, tag string, page int, status int, kind string, body string"
 
 
 def redact(text: str) -> str:
     """A message with the values of credentials blacked out."""
-    return re.sub(r"(?i)\b(app_id|app_key|api_key|api-key)=[^&\s'\"]+", r"\1=REDACTED", text)
+    return re.sub(CREDENTIALS, r"\1=REDACTED", text)
 
 
 class FetchError(RuntimeError):
     """An endpoint that failed for good."""
 
 
-def fetch(url: str, timeout: float = 30.0, tries: int = 3, pause: float = 1.0, opener=urllib.request.urlopen) -> tuple[int, str]:
-    """(status, body) of a GET; (404, '') if there is nothing."""
+class Answer(NamedTuple):
+    status: int
+    kind: str
+    content: bytes
+
+
+def fetch(url: str, timeout: float = 30.0, tries: int = 3, pause: float = 1.0, opener=urllib.request.urlopen, accept: str | None = None) -> Answer:
+    """The answer to a GET; status 404 and no content if there is nothing."""
+    asked = urllib.request.Request(url, headers={"Accept": accept}) if accept else url
     for k in range(tries):
         try:
-            with opener(url, timeout=timeout) as r:
-                return getattr(r, "status", None) or 200, r.read().decode("utf-8")
+            with opener(asked, timeout=timeout) as r:
+                return Answer(getattr(r, "status", None) or 200, r.headers.get("Content-Type") or "", r.read())
         except urllib.error.HTTPError as e:
             if e.code == 404:
-                return 404, ""
+                return Answer(404, "", b"")
             last = e
-        except (OSError, UnicodeDecodeError) as e:
+        except OSError as e:
             if isinstance(getattr(e, "reason", None), FileNotFoundError):
-                return 404, ""
+                return Answer(404, "", b"")
             last = e
         if k + 1 < tries:
             time.sleep(pause * 2**k)
@@ -57,6 +68,7 @@ class HttpReader(DataSourceReader):
     def __init__(self, options):
         self.endpoints = json.loads(options.get("endpoints", "[]"))
         self.timeout, self.tries, self.pause = float(options.get("timeout", "30")), int(options.get("tries", "3")), float(options.get("pause", "1"))
+        self.accept = options.get("accept")
 
     def partitions(self):
         return [Endpoint(e) for e in self.endpoints] or [Endpoint({})]
@@ -66,10 +78,11 @@ class HttpReader(DataSourceReader):
         if not e:
             return
         for page in range(1, int(e.get("pages", 1)) + 1):
-            status, body = fetch(e["url"].replace("{page}", str(page)), self.timeout, self.tries, self.pause)
+            status, kind, content = fetch(e["url"].replace("{page}", str(page)), self.timeout, self.tries, self.pause, accept=self.accept)
             if status == 404:
                 return
-            yield (redact(e["url"]), page, status, body)
+            body = content.decode("utf-8", "replace")
+            yield (redact(e["url"]), e.get("tag"), page, status, kind, body)
             name = e.get("items")
             if name:
                 try:
@@ -93,4 +106,15 @@ class HttpSource(DataSource):
 
 
 def register_http(spark: SparkSession) -> None:
+    ship_package(spark)
     spark.dataSource.register(HttpSource)
+
+
+def bodies(spark: SparkSession, endpoints: list[dict], **options: object) -> DataFrame:
+    """What the endpoints answer, a row per page."""
+    register_http(spark)
+    reader = spark.read.format("vacantia_http").option("endpoints", json.dumps(endpoints))
+    for k, v in options.items():
+        if v is not None:
+            reader = reader.option(k, str(v))
+    return reader.load()

@@ -9,7 +9,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vacantia.sources.http import FetchError, fetch
+
 TTL_SECONDS = 24 * 3600
+# Fixed value: where the daily rates of the euro are.
+URL = "https://www.ecb.europa.eu/stats/eurofxref/eurofxref.zip"
 
 
 def fresh(path: Path, now: float | None = None, ttl: float = TTL_SECONDS) -> bool:
@@ -50,3 +54,15 @@ def load(spark: SparkSession, cache: Path, download, now: float | None = None) -
         cache.parent.mkdir(parents=True, exist_ok=True)
         cache.write_text(text, encoding="utf-8")
     return spark.createDataFrame(sorted(parsed(cache.read_text(encoding="utf-8")).items()), "currency string, rate double")
+
+
+def daily(spark: SparkSession, cache: Path, url: str = URL) -> DataFrame:
+    """(currency, rate) of the day, from ``cache`` while it is fresh, else from ``url``."""
+
+    def download() -> bytes:
+        answer = fetch(url)
+        if answer.status != 200:
+            raise FetchError(f"{url}: nothing there")
+        return answer.content
+
+    return load(spark, cache, download)
