@@ -63,12 +63,21 @@ def test_shapes(spark):
         want |= {("board_intercom", 7, no, "office", 0, -1, ""), ("board_intercom", 7, no, "office", 2, -1, "Rome"), ("board_intercom", 7, no, "department", 0, -1, "HR")}
     assert len(got) == len(set(got)) and set(got) == want
     objects, bridge = nt.objects(t).collect(), nt.bridge(t).collect()
-    hashes = {r["hash"] for r in objects}
-    assert len(hashes) == len(objects)
-    assert {r["child_hash"] for r in bridge} <= hashes and {r["parent_hash"] for r in bridge} <= hashes
+    own = {r["hash"]: r["own"] for r in objects}
+    assert len(own) == len(objects)
+    assert {r["child_hash"] for r in bridge} <= set(own) and {r["parent_hash"] for r in bridge} <= set(own)
     # the tier of payloads 0, 1 and 2 is stored once, and so is the office job that occurs twice
-    assert sum(r["item"] == "€10k" for r in objects) == 1
-    assert sum(r["kind"] == "job" and r["item"] == "1" for r in objects) == 1
+    assert sum("tierSummary" in o for o in own.values()) == 1 and sum('"absolute_url"' in o for o in own.values()) == 1
+    links = {}
+    for r in bridge:
+        links.setdefault(r["parent_hash"], []).append((r["path"], r["ordinal"], r["child_hash"]))
+    roots = {r["envelope_id"]: r["hash"] for r in nt.occurrences(t).collect() if r["board"] == "board_notion"}
+
+    def plain(v):
+        v = unwrap(v)
+        return {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else [plain(x) for x in v] if isinstance(v, list) else v
+
+    assert {i: nt.restored(h, own, links) for i, h in roots.items()} == {i: plain(p) for i, p in enumerate(PAYLOADS) if isinstance(p, dict)}
 
 
 def test_member_order_and_positions(spark):
@@ -76,8 +85,21 @@ def test_member_order_and_positions(spark):
     b = '{"jobs": [{"compensation": {"compensationTiers": [{"y": 2, "x": 1}]}, "id": "a"}]}'
     c = {"jobs": [{"id": "a", "compensation": {"compensationTiers": [None, {"x": 1, "y": 2}]}}]}
     t = trees(spark, [(1, json.dumps(a), ""), (2, b, ""), (3, json.dumps(c), "")], [])
-    kinds = [r["kind"] for r in nt.objects(t).collect()]
-    assert sorted(kinds) == ["job", "job", "tier"]
+    own = sorted(r["own"] for r in nt.objects(t).collect())
+    assert own == ['{"compensation":{},"id":"a"}'] * 2 + ['{"compensationTiers":[null,{}]}', '{"compensationTiers":[{}]}'] + ['{"jobs":[{}]}'] * 2 + ['{"x":1,"y":2}']
+    assert nt.occurrences(t).select("hash").distinct().count() == 2
+
+
+def test_any_depth_and_odd_texts(spark):
+    deep = {"jobs": [[{"a": [[{"b": {"c": [1, None, {"d": 2}]}}], {"e": "[1, 2"}]}], "x"], "odd": "\ud800", "long": "y" * 100_000}
+    t = trees(spark, [(1, json.dumps(deep), ""), (2, '{"jobs": NaN}', ""), (3, "[" * 100_000, ""), (4, "7", ""), (None, "{}", "")], [])
+    own, links = {r["hash"]: r["own"] for r in nt.objects(t).collect()}, {}
+    for r in nt.bridge(t).collect():
+        links.setdefault(r["parent_hash"], []).append((r["path"], r["ordinal"], r["child_hash"]))
+    roots = {r["envelope_id"]: r["hash"] for r in nt.occurrences(t).collect()}
+    assert set(roots) == {1, None} and nt.restored(roots[1], own, links) == deep
+    assert {(p, o) for kids in links.values() for p, o, _ in kids} == {("jobs/0", 0), ("a/0", 0), ("a", 1), ("b", -1), ("c", 2)}
+    assert nt.flat_children(t).count() == 0
 
 
 def test_empty(spark):

@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vacantia.operators import instants
 from vacantia.operators import nested_tables as nt
 from vacantia.operators import units
 from vacantia.operators.snapshot_diff import posting_changes
-from vacantia.runtime import table
+from vacantia.runtime import cut_lineage, table
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -18,13 +19,13 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return posting_changes(table(spark, d, "posting_snapshots"))
 
 
-def _trees(spark: SparkSession, d: str) -> DataFrame:
-    return nt.board_trees(table(spark, d, "board_notion"), table(spark, d, "board_intercom"))
+def _trees(spark: SparkSession, d: str, whole: bool = True) -> DataFrame:
+    return nt.board_trees(table(spark, d, "board_notion"), table(spark, d, "board_intercom"), whole)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Tiers, components, offices and departments of all boards, linked to envelope, job and parent."""
-    return nt.flat_children(_trees(spark, d))
+    return nt.flat_children(_trees(spark, d, whole=False))
 
 
 def p2_objects(spark: SparkSession, d: str) -> DataFrame:
@@ -37,6 +38,18 @@ def p2_bridge(spark: SparkSession, d: str) -> DataFrame:
     return nt.bridge(_trees(spark, d))
 
 
+def p2_occurrences(spark: SparkSession, d: str) -> DataFrame:
+    """The topmost object of every envelope."""
+    return nt.occurrences(_trees(spark, d))
+
+
+def p2_jobs(spark: SparkSession, d: str) -> DataFrame:
+    """board, envelope_id, n_jobs: jobs that are reached from each envelope's topmost object by the bridges."""
+    trees = cut_lineage(_trees(spark, d))
+    links = nt.bridge(trees).filter("path = 'jobs'").select(F.col("parent_hash").alias("hash"), F.greatest("ordinal", F.lit(0)).alias("job_no"))
+    return nt.occurrences(trees).join(links, "hash").select("board", "envelope_id", "job_no").distinct().groupBy("board", "envelope_id").agg(F.count("*").alias("n_jobs"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """source_table, record_id, epoch_us of everything dated in the four sources."""
     return instants.record_instants(spark, d)
@@ -53,7 +66,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_units(spark, d).filter(f"stated AND eur_per_year IS NOT NULL AND NOT ({plain})").select("posting_id", "bound", "eur_per_year")
 
 
-QUERIES = {"p6_found": p6_found, "p6_units": p6_units, "p5_found": p5_found, "p2_found": p2_found, "p2_objects": p2_objects, "p2_bridge": p2_bridge, "p4_found": p4_found}
+QUERIES = {"p6_found": p6_found, "p6_units": p6_units, "p5_found": p5_found, "p2_found": p2_found, "p2_objects": p2_objects, "p2_bridge": p2_bridge, "p2_occurrences": p2_occurrences, "p2_jobs": p2_jobs, "p4_found": p4_found}
 
 #: White space as in ``vacantia.runtime.BLANKS``, in DuckDB's notation.
 _WS = r"[\t\n\v\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -158,6 +171,10 @@ SELECT DISTINCT source_table, record_id, epoch_us FROM done WHERE epoch_us IS NO
 
 SQL = {
     "p2_found": _P2,
+    "p2_jobs": f"""WITH {JOBS_SQL}, every AS (
+  SELECT 'board_notion' AS board, envelope_id, job_no FROM (SELECT *, {unwrapped_sql("j")} AS o FROM jobs) WHERE json_type(o) = 'OBJECT'
+  UNION SELECT 'board_intercom', envelope_id, job_no FROM ({_numbered("board_intercom", "envelope_id", "jobs", "job_no", "j")}) WHERE j IS NOT NULL)
+SELECT board, envelope_id, count(*) AS n_jobs FROM every GROUP BY ALL""",
     "p5_found": _P5,
     "p4_found": rf"""
 WITH newest AS (
