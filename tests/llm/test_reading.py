@@ -32,7 +32,7 @@ def test_held_out_accuracy(spark):
     got = reading.reading_levels(spark.createDataFrame(docs, DOCS), spark.createDataFrame(grades, GRADES), hold_out=F.col("doc_id") % 4 == 0).collect()
     assert {r["doc_id"] for r in got} == set(truth)
     assert sum(r["level"] == truth[r["doc_id"]] for r in got) >= 0.97 * len(got)
-    assert all(1 <= r["score"] <= 3 for r in got)
+    assert all(1 <= r["score"] <= 3 and r["residual"] <= reading.TOLERANCE and r["rounds"] < reading.ROUNDS for r in got)
 
 
 def test_only_readable_documents(spark):
@@ -54,7 +54,9 @@ def test_joined_by_shuffle_beyond_the_broadcast_bound(spark):
     docs, grades, _ = make(60, 3)
     d, g = spark.createDataFrame(docs, DOCS), spark.createDataFrame(grades, GRADES)
     few = {r["doc_id"]: round(r["score"], 9) for r in reading.reading_levels(d, g).collect()}
-    reading.FEW, before = 0, reading.FEW
-    many = {r["doc_id"]: round(r["score"], 9) for r in reading.reading_levels(d, g).collect()}
-    reading.FEW = before
-    assert few == many
+    before = reading.FEW
+    for bound in (1, 20, 60):
+        reading.FEW = bound
+        many = {r["doc_id"]: round(r["score"], 9) for r in reading.reading_levels(d, g).collect()}
+        reading.FEW = before
+        assert few == many
