@@ -81,3 +81,10 @@ def test_edges(spark):
     run(spark, [(1, 100), (2, 101), (3, 250), (4, 300), (5, 0), (5, 7), (5, 7)])
     loads = run(spark, [(i, 30) for i in range(600)])
     assert len(loads) == 200
+
+
+def test_shares(spark):
+    df = spark.createDataFrame([(i, s) for i, s in enumerate([50] * 4 + [70, 30, 0, 130])], "id long, size int")
+    r = packing.fill(packing.pack(df, "id", "size", 100), 100).first()
+    assert (r["containers"], r["pieces"], r["tokens"], r["fullest"], r["unused"]) == (5, 9, 430, 100, 0.14)
+    assert r["of_one_bucket"] == 0.8 and r["in_first_batches"] == round(400 / 430, 6)

@@ -2,10 +2,11 @@
 
 Method: dynamic programming over the global histogram of sizes chooses the boundaries of ``buckets`` length
 buckets so that padding every item up to its bucket's upper boundary wastes least; token-budget batches then
-form inside each bucket: as many items as the budget holds at the bucket's boundary. A bucket whose batches
-leave more than ``LOOSE`` of the budget unused (batches of a bucket of 700 tokens waste a third) would not give
-the required result on its own, so there the method is extended: the batch takes as many items of the largest
-bucket as fit and tops up its remaining budget from the next smaller buckets that fit.
+form inside each bucket: as many items as the budget holds at the bucket's boundary. Every container begins as such a
+batch. A bucket whose batches leave more than ``LOOSE`` of the budget unused (batches of a bucket of 700 tokens waste
+a third) would not give the required result on its own, so there the method is extended: the batch's remaining budget is
+filled by batches of the next smaller buckets that fit. ``fill`` reports how many containers are of one bucket, and
+which share of the tokens is in the batches that containers begin with.
 
 Everything decided centrally is decided on the histogram, of at most ``capacity`` counts, and the plan made of
 it has a few segments per bucket, whatever the number of documents. Documents find their containers by their
@@ -22,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vacantia.runtime import cut_lineage
+from vacantia.runtime import cut_lineage, ship_package
 
 #: Share of the budget that a batch of one bucket may leave unused before it is topped up from other buckets.
-LOOSE = 0.004
+LOOSE = 0.01
 
 
 def length_buckets(sizes: np.ndarray, counts: np.ndarray, buckets: int) -> np.ndarray:
@@ -94,12 +95,14 @@ def plan(uppers: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[list[tu
 
 
 def pack(items: DataFrame, key: str, size: str, capacity: int = 2048, buckets: int = 256) -> DataFrame:
-    """``key``, piece_no, start, n_tokens, container_id: every item, in containers of ``capacity``.
+    """``key``, piece_no, start, n_tokens, bucket, container_id: every item, in containers of ``capacity``.
 
     An item is split only if its size exceeds the capacity: into full pieces, each a container of its own, and
     a last piece that is packed like other items. ``start`` is the offset of the piece within the item. An item
     of size 0 (also null or negative) takes no space and is in some container all the same. An empty table
-    gives no rows. Containers are numbered from 0 without gaps."""
+    gives no rows. Containers are numbered from 0 without gaps. ``bucket`` is the upper boundary of the piece's bucket (0 for
+    size 0)."""
+    ship_package(items.sparkSession)
     whole = F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long")
     sized = cut_lineage(items.select(F.col(key).alias("_key"), whole.alias("_size")))
     last = F.when(F.col("_size") > capacity, (F.col("_size") - 1) % capacity + 1).otherwise(F.col("_size"))
@@ -129,11 +132,11 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = 2048, buckets: i
     for b, first, per, base in segments:
         by_bucket.setdefault(b, []).append((first, per, base))
     by_bucket = {b: np.array(sorted(s), dtype=np.int64) for b, s in by_bucket.items()}
-    shared = items.sparkSession.sparkContext.broadcast((by_bucket, max(1, containers)))
+    shared = items.sparkSession.sparkContext.broadcast((by_bucket, max(1, containers), np.append(uppers, 0)))
     kind = sized.schema["_key"].dataType.simpleString()
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        segs, number = shared.value
+        segs, number, bounds = shared.value
         for f in frames:
             out = f["_rank"].to_numpy(dtype=np.int64) % number
             for b, rows in f.groupby("_bucket").indices.items():
@@ -141,9 +144,9 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = 2048, buckets: i
                     rank = f["_rank"].to_numpy(dtype=np.int64)[rows]
                     seg = segs[b][np.searchsorted(segs[b][:, 0], rank, side="right") - 1]
                     out[rows] = seg[:, 2] + (rank - seg[:, 0]) // seg[:, 1]
-            yield f[["_key", "start", "n_tokens"]].assign(container_id=out)
+            yield f[["_key", "start", "n_tokens"]].assign(bucket=bounds[f["_bucket"].to_numpy(dtype=np.int64)], container_id=out)
 
-    tail_rows = placed.mapInPandas(assign, f"_key {kind}, start long, n_tokens long, container_id long").withColumn("piece_no", (F.col("start") / capacity).cast("int"))
+    tail_rows = placed.mapInPandas(assign, f"_key {kind}, start long, n_tokens long, bucket long, container_id long").withColumn("piece_no", (F.col("start") / capacity).cast("int"))
     # full pieces of items beyond the capacity, numbered after the packed containers
     full = sized.filter(F.col("_size") > capacity).withColumn("_n", ((F.col("_size") - 1) / capacity).cast("int")).withColumn("_shard", F.pmod(F.xxhash64("_key"), F.lit(shards)).cast("int"))
     per_shard = full.groupBy("_shard").agg(F.sum("_n").alias("s"))
@@ -151,16 +154,20 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = 2048, buckets: i
     run = F.sum("_n").over(Window.partitionBy("_shard").orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
     # one row per shard: their number is total / 200,000
     pieces = full.withColumn("_run", run).join(base, "_shard").select("_key", (F.col("_run") + F.col("_base")).alias("_first"), F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("piece_no"))
-    full_rows = pieces.select("_key", "piece_no", (F.col("piece_no").cast("long") * capacity).alias("start"), F.lit(capacity).cast("long").alias("n_tokens"), (F.lit(containers) + F.col("_first") + F.col("piece_no")).cast("long").alias("container_id"))
-    out = tail_rows.select("_key", "piece_no", "start", "n_tokens", "container_id").unionByName(full_rows)
+    full_rows = pieces.select("_key", "piece_no", (F.col("piece_no").cast("long") * capacity).alias("start"), F.lit(capacity).cast("long").alias("n_tokens"), F.lit(capacity).cast("long").alias("bucket"), (F.lit(containers) + F.col("_first") + F.col("piece_no")).cast("long").alias("container_id"))
+    out = tail_rows.select("_key", "piece_no", "start", "n_tokens", "bucket", "container_id").unionByName(full_rows)
     return out.withColumnRenamed("_key", key)
 
 
 def fill(packed: DataFrame, capacity: int = 2048) -> DataFrame:
-    """One row: containers, items, tokens, the fewest containers that could hold them, and the share unused."""
-    per = packed.groupBy("container_id").agg(F.count("*").alias("items"), F.sum("n_tokens").alias("tokens"), F.max(F.lit(1)).alias("one"))
+    """One row: containers, pieces, tokens, the fewest containers that could hold them, the fullest, the share unused, the
+    share of containers whose pieces are of one bucket, and the share of tokens in the batches that containers begin with."""
+    batches = packed.groupBy("container_id", "bucket").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("tokens"))
+    # empty pieces are of no bucket
+    per = batches.groupBy("container_id").agg(F.sum("pieces").alias("pieces"), F.sum("tokens").alias("tokens"), F.count_if(F.col("bucket") > 0).alias("buckets"), F.max_by("tokens", "bucket").alias("first"))
     return per.agg(
-        F.sum("one").alias("containers"), F.sum("items").alias("pieces"), F.sum("tokens").alias("tokens"),
+        F.count("*").alias("containers"), F.sum("pieces").alias("pieces"), F.sum("tokens").alias("tokens"),
         F.ceil(F.sum("tokens") / capacity).alias("least_containers"), F.max("tokens").alias("fullest"),
-        F.round(1 - F.sum("tokens") / (F.sum("one") * capacity), 6).alias("unused"),
+        F.round(1 - F.sum("tokens") / (F.count("*") * capacity), 6).alias("unused"),
+        F.round(F.count_if(F.col("buckets") <= 1) / F.count("*"), 6).alias("of_one_bucket"), F.round(F.sum("first") / F.sum("tokens"), 6).alias("in_first_batches"),
     )
