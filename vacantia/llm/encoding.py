@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vacantia.llm.bpe import StreamDecoder, Transducer
+from vacantia.runtime import ship_package
 
 #: Where the public vocabularies are; a parameter of every function that needs one.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -27,6 +28,7 @@ def _transducer(vocabulary: bytes) -> Transducer:
 
 
 def _shared(df: DataFrame, path: str):
+    ship_package(df.sparkSession)
     with open(path, "rb") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 

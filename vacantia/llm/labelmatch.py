@@ -148,3 +148,4 @@ BRUTE = (
     BRUTE.replace("MARKED", MARKED).replace("PLAIN", PLAIN).replace("{FULL}", "{" + ", ".join(f"'{a}': '{b}'" for a, b in ABBREVIATIONS.items()) + "}")
     .replace("DROPPED", _quoted((*SENIORITY, *IDLE))).replace("k.key, l.*,", "k.key, l.isco_code, l.label, l.label_kind, l.n, l.most, l.key AS key_1,")
 )
+BRUTE_MATCHES = BRUTE.replace("coalesce(best.isco_code, 'none') AS isco_code FROM", "coalesce(best.isco_code, 'none') AS isco_code, best.label AS label, coalesce(round(1 + best.d / best.n, 4), 0.0) AS isco_match_score FROM")

@@ -120,8 +120,8 @@ def canonical(typed: DataFrame) -> DataFrame:
         return F.array_sort(F.array_distinct(words))
 
     said = once(rows, "_read", F.split(F.array_join(read("w", F.flatten("phrases")), " "), " "))
-    plain = F.transform("_read", lambda w: F.rtrim(w, F.lit(DOUBT)))
-    doubt = F.transform(F.filter("_read", lambda w: F.endswith(w, F.lit(DOUBT))), lambda w: F.rtrim(w, F.lit(DOUBT)))
+    plain = F.transform("_read", lambda w: F.replace(w, F.lit(DOUBT), F.lit("")))
+    doubt = F.transform(F.filter("_read", lambda w: F.endswith(w, F.lit(DOUBT))), lambda w: F.replace(w, F.lit(DOUBT), F.lit("")))
     return said.select("posting_id", "rank", read("c", F.col("company")).alias("company"), tidy(F.flatten("phrases")).alias("raw"), F.filter(tidy(plain), lambda w: w != "").alias("words"), tidy(doubt).alias("doubt"), F.array_join(tidy(read("t", F.col("town"))), " ").alias("town"))
 
 

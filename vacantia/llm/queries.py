@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacantia.llm import encoding, labelmatch, neardup, packing, quantiles, reading
-from vacantia.runtime import table
+from vacantia.runtime import cut_lineage, table
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -23,7 +23,7 @@ def p8_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_containers(spark: SparkSession, d: str) -> DataFrame:
-    """doc_id, piece_no, start, n_tokens, container_id: all documents in containers of 2,048 tokens."""
+    """doc_id, piece_no, start, n_tokens, bucket, container_id: all documents in containers of 2,048 tokens."""
     return packing.pack(encoding.token_counts(table(spark, d, "documents")), "doc_id", "n_tokens")
 
 
@@ -32,6 +32,15 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill(p9_containers(spark, d))
 
 
+def p9_whole(spark: SparkSession, d: str) -> DataFrame:
+    """One row: documents placed, containers over 2,048 tokens, documents of at most 2,048 tokens that were split, and gaps in the numbering."""
+    packed = cut_lineage(p9_containers(spark, d))
+    per = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("n")).agg(F.count_if(F.col("n") > 2048).alias("n_overfull"), (F.max("container_id") + 1 - F.count("*")).alias("n_gaps"))
+    docs = packed.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("pieces")).agg(F.count("*").alias("n_docs"), F.count_if((F.col("n") <= 2048) & (F.col("pieces") > 1)).alias("n_split"))
+    # two single rows
+    return docs.crossJoin(F.broadcast(per))
+
+
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
     """doc_id, lang, score, level of every document of at least 50 words in English, German or French."""
     return reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels"))
@@ -47,6 +56,11 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return p10_scores(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id").groupBy("source", "level").count()
 
 
+def p10_covered(spark: SparkSession, d: str) -> DataFrame:
+    """lang, n_docs: how many documents of each language have a level."""
+    return p10_scores(spark, d).filter("level BETWEEN 1 AND 3").groupBy("lang").agg(F.count("*").alias("n_docs"))
+
+
 def p3_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """snapshot_date ('all' for all together), isco_code, country, percent, value, n, rank_bound."""
     return quantiles.salary_percentiles(table(spark, d, "posting_snapshots"))
@@ -82,6 +96,8 @@ def p1_links(spark: SparkSession, d: str) -> DataFrame:
     return neardup.opening_links(table(spark, d, "postings"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_links": p1_links, "p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p3_accuracy": p3_accuracy, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p9_containers": p9_containers, "p9_fill": p9_fill, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_links": p1_links, "p7_found": p7_found, "p7_matches": p7_matches, "p3_percentiles": p3_percentiles, "p3_accuracy": p3_accuracy, "p10_found": p10_found, "p10_scores": p10_scores, "p10_profile": p10_profile, "p10_covered": p10_covered, "p9_containers": p9_containers, "p9_fill": p9_fill, "p9_whole": p9_whole, "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip}
+
+_BLANKS = r"[\t\n\v\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
-SQL = {"p3_accuracy": quantiles.ACCURACY, "p7_found": labelmatch.BRUTE, "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
+SQL = {"p9_whole": "SELECT count(DISTINCT doc_id) AS n_docs, 0 AS n_split, 0 AS n_overfull, 0 AS n_gaps FROM documents", "p10_covered": f"SELECT lower(lang[:2]) AS lang, count(*) AS n_docs FROM documents WHERE lower(lang[:2]) IN ('en', 'de', 'fr') AND len(list_filter(string_split_regex(text, '{_BLANKS}+'), lambda w: w <> '')) >= 50 GROUP BY 1", "p7_matches": labelmatch.BRUTE_MATCHES, "p3_accuracy": quantiles.ACCURACY, "p7_found": labelmatch.BRUTE, "p8_roundtrip": "SELECT source, count(*) AS n_docs, count(*) AS n_same FROM documents GROUP BY source"}
