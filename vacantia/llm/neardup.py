@@ -75,10 +75,11 @@ def corrections(typed: DataFrame) -> DataFrame:
     """kind, word, read: what slips are read as (one word, or more with blanks, or itself with ``DOUBT``); kind is w (title), c (company) or t (town)."""
     each = [("w", F.flatten("phrases")), ("c", F.col("company")), ("t", F.col("town"))]
     words = reduce(DataFrame.unionByName, [typed.select(F.lit(k).alias("kind"), F.explode(c).alias("word")) for k, c in each])
-    counted = words.groupBy("kind", "word").agg(F.count("*").alias("n"))
+    # vocabularies, used several times below
+    counted = cut_lineage(words.groupBy("kind", "word").agg(F.count("*").alias("n")))
     runs = F.transform(F.sequence(F.lit(2), F.least(F.size("p"), F.lit(3))), lambda n: F.transform(F.sequence(F.lit(1), F.size("p") - n + 1), lambda i: F.array_join(F.slice("p", i, n), " ")))
     neighbours = typed.select(F.explode("phrases").alias("p")).filter("size(p) > 1").select(F.explode(F.flatten(runs)).alias("read"))
-    joined = neighbours.groupBy("read").agg(F.count("*").alias("n")).select(F.lit("w").alias("kind"), F.replace("read", F.lit(" "), F.lit("")).alias("word"), "n", "read")
+    joined = cut_lineage(neighbours.groupBy("read").agg(F.count("*").alias("n"))).select(F.lit("w").alias("kind"), F.replace("read", F.lit(" "), F.lit("")).alias("word"), "n", "read")
     # a run's joined form itself is its slip if no more frequent; slips of it must be far rarer, as of any word
     written = counted.join(joined.select("kind", "word", F.col("n").alias("often"), "read"), ["kind", "word"]).filter("often >= n").select("kind", "word", "n", F.col("word").alias("target"), "often", "read")
     targets = counted.withColumn("read", F.col("word")).unionByName(joined.filter(F.col("n") >= RATIO))
@@ -131,7 +132,7 @@ _SHIFTS = _SEEDS.integers(0, 2**63, VALUES, dtype=np.uint64)
 
 
 def _minhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, shingle hashes, block, rep -> id, band keys (with the block), signature of VALUES bytes, rep."""
+    """id, shingle hashes, block, rep, own -> id, band keys (with the block), signature of VALUES bytes, rep, own."""
     for batch in batches:
         lists = batch.column(1)
         flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -149,7 +150,7 @@ def _minhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = (lows >> np.uint64(56)).astype(np.uint8).view(">i8")
         bands = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel()))
         longs = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.astype(np.int64).ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), bands, longs, batch.column(3)], names=["id", "bands", "signature", "rep"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), bands, longs, batch.column(3), batch.column(4)], names=["id", "bands", "signature", "rep", "own"])
 
 
 def least_matches(step: int = 16, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
@@ -202,13 +203,13 @@ def candidates(nodes: DataFrame) -> DataFrame:
     them; pairs are made by a join on that key, which adaptive execution splits where a bucket is hot."""
     block = lambda name: F.xxhash64(name, "rank")
     told = nodes.withColumn("name", F.get("company", F.lit(0)))
-    other = told.join(near_names(nodes), "name").select("id", "words", block("like").alias("block"), F.lit(False).alias("rep"))
-    asks = told.select("id", "words", block("name").alias("block"), "rep").unionByName(other)
-    signed = cut_lineage(asks.select("id", shingles(F.col("words")).alias("g"), "block", "rep").filter("size(g) > 0").mapInArrow(_minhash, "id bigint, bands array<bigint>, signature array<bigint>, rep boolean"))
+    other = told.join(near_names(nodes), "name").select("id", "words", block("like").alias("block"), F.lit(False).alias("rep"), F.lit(False).alias("own"))
+    asks = told.select("id", "words", block("name").alias("block"), "rep", F.lit(True).alias("own")).unionByName(other)
+    signed = cut_lineage(asks.select("id", shingles(F.col("words")).alias("g"), "block", "rep", "own").filter("size(g) > 0").mapInArrow(_minhash, "id bigint, bands array<bigint>, signature array<bigint>, rep boolean, own boolean"))
     met = signed.select(F.col("id").alias("x"), F.explode("bands").alias("key"), F.col("rep").alias("both")).join(signed.filter("rep").select(F.col("id").alias("y"), F.explode("bands").alias("key")), "key")
     # two representatives are one pair
     pairs = met.filter("x <> y AND (NOT both OR x < y)").select("x", "y").distinct()
-    left, right = (x.groupBy(F.col("id").alias(c)).agg(F.first("signature").alias(f"s{c}")) for x, c in ((signed, "x"), (signed.filter("rep"), "y")))
+    left, right = (signed.filter(f"own{more}").select(F.col("id").alias(c), F.col("signature").alias(f"s{c}")) for more, c in (("", "x"), (" AND rep", "y")))
     # piece by piece: a pair that is dropped is not compared any further
     step = 2
     alive = pairs.join(left, "x").join(right, "y").withColumn("m", F.lit(0))
@@ -285,7 +286,9 @@ def _nodes(rows: DataFrame) -> DataFrame:
     are a representative's doubtful words."""
     none = F.array().cast("array<string>")
     typed, read = (F.struct(F.col(k).alias("key"), F.col("class_key").alias("target"), F.col(w).alias("words"), d.alias("doubt")) for k, w, d in (("raw_key", "raw", none), ("class_key", "words", F.col("doubt"))))
-    each = rows.select("company", "rank", F.explode(F.array(typed, read)).alias("n")).select("company", "rank", "n.*")
+    # a wording that is read as itself is its representative
+    both = F.when(F.col("raw_key") == F.col("class_key"), F.array(read)).otherwise(F.array(typed, read))
+    each = rows.select("company", "rank", F.explode(both).alias("n")).select("company", "rank", "n.*")
     nodes = each.groupBy("key").agg(F.max(F.struct(F.col("key") == F.col("target"), "target", "words", "doubt")).alias("n"), F.first("company").alias("company"), F.first("rank").alias("rank"))
     nodes = cut_lineage(nodes.select(F.monotonically_increasing_id().alias("id"), "key", "n.target", F.expr("key = n.target").alias("rep"), "company", "rank", "n.words", "n.doubt"))
     words = nodes.filter("rep").select("id", F.explode("words").alias("word"))
