@@ -73,8 +73,8 @@ def _tables() -> list[tuple[np.ndarray, np.ndarray]]:
             for row in range(DEPTH):
                 with np.errstate(over="ignore"):
                     h = _mixed(nodes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(1 + level * DEPTH + row))
-                at.append((level * DEPTH + row) * WIDTH + (h % np.uint64(WIDTH)).astype(np.int64))
-                sign.append(np.where((h >> np.uint64(40)) & np.uint64(1), 1, -1).astype(np.int64))
+                at.append(((level * DEPTH + row) * WIDTH + (h % np.uint64(WIDTH)).astype(np.int64)).astype(np.int32))
+                sign.append(np.where((h >> np.uint64(40)) & np.uint64(1), 1, -1).astype(np.int8))
             _TABLES.append((np.array(at), np.array(sign)))
     return _TABLES
 
