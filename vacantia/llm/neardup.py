@@ -6,7 +6,7 @@ similarity reaches ``THRESHOLD`` falls under ``TOLERANCE``; of the rest the simi
 words that differ are looked at.
 
 Every distinct wording (company, rank, words of the title) is a node that asks. Representatives answer: the wordings
-that slips of spelling are read as. A slip is told by the corpus, by ratios alone: a word is read as a far more
+that slips of spelling are read as. They ask all other representatives, the others ask the one they are read as. A slip is told by the corpus, by ratios alone: a word is read as a far more
 frequent one of the same kind within two edits (an edit also being a swap), or as two or three neighbours written
 together. Water and Waste, two edits apart and equally frequent, stay two words. A wording that reaches its
 representative through bands, pruning and similarity is its member, and members are never compared with each
@@ -20,8 +20,8 @@ subject, team and town, not for shingles of five words, so the threshold is one
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacantia.llm.labelmatch import SENIORITY, plain_sql, words_sql
-from vacantia.runtime import cut_lineage, once, ship_package
+from vacantia.runtime import Scratch, cut_lineage, once, shuffles_dropped, ship_package
 
 # Words of advertising, of contracts and of places' surroundings, legal forms and countries.
 ADVERTS = ("hiring", "now", "new", "repost", "urgent", "ref", "full", "part", "time", "permanent", "temporary", "month", "contract", "hybrid", "remote", "apply", "team", "the", "and")
@@ -71,23 +71,30 @@ def _deletions(word: str, times: str) -> str:
     return f"array_distinct(concat(array({word}), {one}, IF({times} = 2, {two}, CAST(array() AS ARRAY<STRING>))))"
 
 
-def corrections(typed: DataFrame) -> DataFrame:
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """A table of words in as many parts as a shuffle has, as many rows are made of each word.
+
+    What they become is joined with the hint ``merge``: the optimiser takes it for as small as the table of words."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def corrections(typed: DataFrame, keep: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """kind, word, read: what slips are read as (one word, or more with blanks, or itself with ``DOUBT``); kind is w (title), c (company) or t (town)."""
     each = [("w", F.flatten("phrases")), ("c", F.col("company")), ("t", F.col("town"))]
     words = reduce(DataFrame.unionByName, [typed.select(F.lit(k).alias("kind"), F.explode(c).alias("word")) for k, c in each])
     # vocabularies, used several times below
-    counted = cut_lineage(words.groupBy("kind", "word").agg(F.count("*").alias("n")))
+    counted = keep(words.groupBy("kind", "word").agg(F.count("*").alias("n")))
     runs = F.transform(F.sequence(F.lit(2), F.least(F.size("p"), F.lit(3))), lambda n: F.transform(F.sequence(F.lit(1), F.size("p") - n + 1), lambda i: F.array_join(F.slice("p", i, n), " ")))
     neighbours = typed.select(F.explode("phrases").alias("p")).filter("size(p) > 1").select(F.explode(F.flatten(runs)).alias("read"))
-    joined = cut_lineage(neighbours.groupBy("read").agg(F.count("*").alias("n"))).select(F.lit("w").alias("kind"), F.replace("read", F.lit(" "), F.lit("")).alias("word"), "n", "read")
+    joined = keep(neighbours.groupBy("read").agg(F.count("*").alias("n"))).select(F.lit("w").alias("kind"), F.replace("read", F.lit(" "), F.lit("")).alias("word"), "n", "read")
     # a run's joined form itself is its slip if no more frequent; slips of it must be far rarer, as of any word
     written = counted.join(joined.select("kind", "word", F.col("n").alias("often"), "read"), ["kind", "word"]).filter("often >= n").select("kind", "word", "n", F.col("word").alias("target"), "often", "read")
     targets = counted.withColumn("read", F.col("word")).unionByName(joined.filter(F.col("n") >= RATIO))
     times = "IF(length(word) >= 7, 2, 1)"
     ratio = F.when(F.col("kind") == "c", NAME_RATIO).otherwise(RATIO)
-    left = counted.filter("length(word) >= 4").selectExpr("kind", "word", "n", f"explode({_deletions('word', times)}) AS v")
-    right = targets.filter((F.col("n") >= ratio) & (F.length("word") >= 4)).selectExpr("kind", "word AS target", "n AS often", "read", f"explode({_deletions('word', times)}) AS v")
-    met = left.join(right, ["kind", "v"]).filter(F.col("often") >= ratio * F.col("n")).select("kind", "word", "n", "target", "often", "read").unionByName(written).filter("word <> read").distinct()
+    left = _spread(counted.filter("length(word) >= 4"), "word").selectExpr("kind", "word", "n", f"explode({_deletions('word', times)}) AS v")
+    right = _spread(targets.filter((F.col("n") >= ratio) & (F.length("word") >= 4)), "word").selectExpr("kind", "word AS target", "n AS often", "read", f"explode({_deletions('word', times)}) AS v")
+    met = left.hint("merge").join(right, ["kind", "v"]).filter(F.col("often") >= ratio * F.col("n")).select("kind", "word", "n", "target", "often", "read").unionByName(written).filter("word <> read").distinct()
     # two letters swapped are one edit, as are those that levenshtein counts as one
     swapped = "length(word) = length(target) AND array_sort(split(word, '')) = array_sort(split(target, ''))"
     near = met.withColumn("d", F.levenshtein("word", "target", 2)).filter("d >= 0").withColumn("d", F.expr(f"IF({swapped}, 1, d)")).filter("d <= 1 OR length(word) >= 7")
@@ -99,12 +106,11 @@ def corrections(typed: DataFrame) -> DataFrame:
     return best.select("kind", "word", F.when(open_slip, F.concat("word", F.lit(DOUBT))).otherwise(F.col("l")[0]["read"]).alias("read"))
 
 
-def canonical(typed: DataFrame) -> DataFrame:
+def canonical(typed: DataFrame, fixed: DataFrame) -> DataFrame:
     """posting_id, rank, company, raw, words, doubt, town: the title's words as typed and as read (both sorted), and those read with doubt.
 
     ``typed`` must be written (cut from its lineage), so that its row numbers hold. Only the few words that have a
-    correction are brought back to their rows, as one small map a row."""
-    fixed = corrections(typed)
+    correction (``fixed``, from ``corrections``) are brought back to their rows, as one small map a row."""
 
     def of_kind(kind: str, words: Column) -> Column:
         return F.transform(words, lambda w: F.struct(F.lit(kind).alias("kind"), w.alias("word")))
@@ -131,28 +137,48 @@ _MULTIPLIERS = _SEEDS.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2)
 _SHIFTS = _SEEDS.integers(0, 2**63, VALUES, dtype=np.uint64)
 
 
+#: Rounds in which the bands are compared, so that the keys of a few only are on disk at a time.
+ROUNDS = 4
+
+
+def _lows(lists: pa.ListArray) -> np.ndarray:
+    """The MinHash values of each list of shingle hashes, 64 bits each."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    ends = np.asarray(lists.value_lengths()).cumsum()
+    starts = np.concatenate([[0], ends[:-1]])
+    lows = np.empty((len(lists), VALUES), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(VALUES):
+            mixed = flat * _MULTIPLIERS[j] + _SHIFTS[j]
+            mixed ^= mixed >> np.uint64(31)
+            lows[:, j] = np.minimum.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), starts)
+    return lows
+
+
 def _minhash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, shingle hashes, block, rep, own -> id, band keys (with the block), signature of VALUES bytes, rep, own."""
+    """no, shingle hashes, block -> no, signature of VALUES bytes, band keys (with the block) by rounds."""
     for batch in batches:
-        lists = batch.column(1)
-        flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        ends = np.asarray(lists.value_lengths()).cumsum()
-        starts = np.concatenate([[0], ends[:-1]])
-        lows = np.empty((len(lists), VALUES), dtype=np.uint64)
+        n, lows = batch.num_rows, _lows(batch.column(1))
         with np.errstate(over="ignore"):
-            for j in range(VALUES):
-                mixed = flat * _MULTIPLIERS[j] + _SHIFTS[j]
-                mixed ^= mixed >> np.uint64(31)
-                lows[:, j] = np.minimum.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), starts)
             keys = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)[:, None] + np.arange(BANDS, dtype=np.uint64)
             for r in range(ROWS):
                 keys = (keys ^ (keys >> np.uint64(29)) ^ lows[:, r * BANDS : (r + 1) * BANDS]) * np.uint64(0xBF58476D1CE4E5B9)
-        words = (lows >> np.uint64(56)).astype(np.uint8).view(">i8")
-        bands = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * BANDS), pa.array(keys.view(np.int64).ravel()))
-        longs = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.astype(np.int64).ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), bands, longs, batch.column(3), batch.column(4)], names=["id", "bands", "signature", "rep", "own"])
+        words = (lows >> np.uint64(56)).astype(np.uint8).view(">i8").astype(np.int64)
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())) for x in (words, *np.split(keys.view(np.int64), ROUNDS, axis=1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["no", "signature", *[f"bands{k}" for k in range(ROUNDS)]])
+
+
+def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, shingle hashes of two wordings of one block -> id of those that agree in a band and survive the pruning."""
+    fewest = np.array(least_matches(16))
+    for batch in batches:
+        x, y = (_lows(batch.column(c)) for c in (1, 2))
+        band = (x == y).reshape(-1, ROWS, BANDS).all(1).any(1)
+        alike = ((x >> np.uint64(56)) == (y >> np.uint64(56))).cumsum(1)[:, 15::16]
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(band & (alike >= fewest).all(1)))], names=["id"])
 
 
+@cache
 def least_matches(step: int = 16, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
     """For each number of values compared (``step``, 2 * ``step``, ...) the fewest matches with which a pair is kept.
 
@@ -179,13 +205,13 @@ def _equal_bytes(a: Column, b: Column) -> Column:
     return 8 - F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
 
 
-def near_names(nodes: DataFrame) -> DataFrame:
+def near_names(nodes: DataFrame, keep: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """name, like: companies' first words that may be slips, and the near names, at least as frequent, that they may be slips of.
 
     Two edits need ``NAME_RATIO`` times the frequency: made-up names that are near are mostly two names."""
     names = nodes.groupBy(F.get("company", F.lit(0)).alias("name")).agg(F.count("*").alias("n")).filter("length(name) >= 4")
-    keys = cut_lineage(names.selectExpr("name", "n", f"explode({_deletions('name', '2')}) AS v"))
-    met = keys.join(keys.selectExpr("name AS like", "n AS often", "v"), "v").filter("name <> like AND often >= n").select("name", "like", "n", "often").distinct()
+    keys = keep(_spread(names, "name").selectExpr("name", "n", f"explode({_deletions('name', '2')}) AS v"))
+    met = keys.hint("merge").join(keys.selectExpr("name AS like", "n AS often", "v"), "v").filter("name <> like AND often >= n").select("name", "like", "n", "often").distinct()
     one = F.expr("levenshtein(name, like) = 1 OR array_sort(split(name, '')) = array_sort(split(like, ''))")
     return met.filter(NEAR_NAME.format("name", "like")).filter(one | (F.col("often") >= NAME_RATIO * F.col("n"))).select("name", "like")
 
@@ -195,28 +221,55 @@ def shingles(words: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.xxhash64(F.substring(F.concat(F.lit("^"), w, F.lit("$")), i, F.lit(SHINGLE)))))))
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """x, y (ids of nodes, y a representative): pairs of one company and rank that survive the pruning.
+def _similar(x: str, y: str) -> Column:
+    """Whether the Jaccard similarity of two columns of distinct shingles reaches ``THRESHOLD``; x and y with their common number ``both``."""
+    return F.col("both") >= THRESHOLD * (F.size(x) + F.size(y) - F.col("both"))
+
+
+def reached(nodes: DataFrame) -> DataFrame:
+    """id: the wordings that reach the representative they are read as, through a band, the pruning and the similarity.
+
+    A node has the words of its representative with it (``read``), so nothing is moved to compare them. What other
+    representatives would answer such a wording makes neither members nor links, and is not asked."""
+    each = nodes.filter("NOT rep").select("id", shingles(F.col("words")).alias("gx"), shingles(F.col("read")).alias("gy")).filter("size(gx) > 0 AND size(gy) > 0")
+    each = once(each, "both", F.size(F.array_intersect("gx", "gy"))).filter(_similar("gx", "gy"))
+    return each.select("id", "gx", "gy").mapInArrow(_meeting, "id bigint")
+
 
-    All nodes ask, representatives answer. Nodes whose company's name may be a slip of another also ask under that
-    name. A band's key is hashed together with the company's first word and the rank, so no bucket goes beyond
-    them; pairs are made by a join on that key, which adaptive execution splits where a bucket is hot."""
+def candidates(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """x, y (ids of nodes): pairs of representatives of one company and rank that survive the pruning.
+
+    Representatives whose company's name may be a slip of another also ask (and do not answer) under that name, with
+    the number -1 - id. A band's key is hashed together with the company's first word and the rank, so no bucket goes
+    beyond them; pairs are made by a join on that key, which adaptive execution splits where a bucket is hot. Both
+    sides of it are one shuffle, and a round has some of the bands only."""
     block = lambda name: F.xxhash64(name, "rank")
     told = nodes.withColumn("name", F.get("company", F.lit(0)))
-    other = told.join(near_names(nodes), "name").select("id", "words", block("like").alias("block"), F.lit(False).alias("rep"), F.lit(False).alias("own"))
-    asks = told.select("id", "words", block("name").alias("block"), "rep", F.lit(True).alias("own")).unionByName(other)
-    signed = cut_lineage(asks.select("id", shingles(F.col("words")).alias("g"), "block", "rep", "own").filter("size(g) > 0").mapInArrow(_minhash, "id bigint, bands array<bigint>, signature array<bigint>, rep boolean, own boolean"))
-    met = signed.select(F.col("id").alias("x"), F.explode("bands").alias("key"), F.col("rep").alias("both")).join(signed.filter("rep").select(F.col("id").alias("y"), F.explode("bands").alias("key")), "key")
-    # two representatives are one pair
-    pairs = met.filter("x <> y AND (NOT both OR x < y)").select("x", "y").distinct()
-    left, right = (signed.filter(f"own{more}").select(F.col("id").alias(c), F.col("signature").alias(f"s{c}")) for more, c in (("", "x"), (" AND rep", "y")))
+    near = scratch.keep(near_names(nodes, scratch.keep))
+    reps = told.filter("rep")
+    asks = reps.select(F.col("id").alias("no"), "words", block("name").alias("block")).unionByName(reps.join(near, "name").select((-1 - F.col("id")).alias("no"), "words", block("like").alias("block")))
+    lists = ", ".join(f"bands{k} array<bigint>" for k in range(ROUNDS))
+    signed = scratch.keep(asks.select("no", shingles(F.col("words")).alias("g"), "block").filter("size(g) > 0").mapInArrow(_minhash, f"no bigint, signature array<bigint>, {lists}"))
+    signatures = scratch.keep(signed.filter("no >= 0").select("no", "signature"))
+    rounds = []
+    for k in range(ROUNDS):
+        x, y = (signed.select(F.col("no").alias(c), F.explode(f"bands{k}").alias("key")) for c in "xy")
+        # two representatives are one pair; those of two that only ask are left out below, not to make two shuffles of one
+        rounds.append(scratch.keep(x.join(y, "key").filter("x < y").select("x", "y").distinct()))
+    scratch.drop(signed)
+    met = reduce(DataFrame.unionByName, rounds).filter("y >= 0").select(F.expr("IF(x < 0, -1 - x, x)").alias("x"), "y").filter("x <> y")
+    pairs = scratch.keep(met.distinct())
+    scratch.drop(*rounds)
+    left, right = (signatures.select(F.col("no").alias(c), F.col("signature").alias(f"s{c}")) for c in "xy")
     # piece by piece: a pair that is dropped is not compared any further
     step = 2
     alive = pairs.join(left, "x").join(right, "y").withColumn("m", F.lit(0))
     for k, fewest in enumerate(least_matches(8 * step)):
         more = reduce(lambda x, y: x + y, [_equal_bytes(F.get("sx", F.lit(step * k + i)), F.get("sy", F.lit(step * k + i))) for i in range(step)])
         alive = once(alive.withColumnRenamed("m", "before"), "m", F.col("before") + more).drop("before").filter(F.col("m") >= fewest)
-    return alive.select("x", "y")
+    alive = scratch.keep(alive.select("x", "y"))
+    scratch.drop(signatures, pairs)
+    return alive
 
 
 #: SQL: whether two companies (arrays of words) may be one, and whether their first words are only near.
@@ -253,7 +306,7 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     doubt = f"(size(r.u) > 0 AND size(r.v) > 0 AND {close} AND (size(array_except(r.u, rare_x)) = 0 OR size(array_except(r.v, rare_y)) = 0))"
     p = p.filter(f"member OR {together} OR {each} OR {doubt}")
     p = once(p.select("x", "y", "member", shingles(F.col("words_x")).alias("gx"), shingles(F.col("words_y")).alias("gy")), "both", F.size(F.array_intersect("gx", "gy")))
-    return p.filter(F.col("both") >= THRESHOLD * (F.size("gx") + F.size("gy") - F.col("both"))).select("x", "y", "member")
+    return p.filter(_similar("gx", "gy")).select("x", "y", "member")
 
 
 def doubtful(words: DataFrame) -> DataFrame:
@@ -263,9 +316,9 @@ def doubtful(words: DataFrame) -> DataFrame:
     and more also a swap and an edit) from one of ``FAR_RATIO`` times as many, or beginning or ending with such a word
     and three letters more (words written together). Only ratios count, so that a slip is
     as doubtful in a large table as in a small one, and Water and Waste are two words in either."""
-    long = words.filter("length(word) >= 3").selectExpr("word", "n", f"explode({_deletions('word', '2')}) AS v")
+    long = _spread(words.filter("length(word) >= 3"), "word").selectExpr("word", "n", f"explode({_deletions('word', '2')}) AS v")
     right = long.filter(F.col("n") >= RATIO).selectExpr("word AS target", "n AS often", "v")
-    met = long.join(right, "v").filter(F.col("often") >= RATIO * F.col("n")).select("word", "n", "target", "often").distinct()
+    met = long.hint("merge").join(right, "v").filter(F.col("often") >= RATIO * F.col("n")).select("word", "n", "target", "often").distinct()
     d = F.expr("IF(array_sort(split(word, '')) = array_sort(split(target, '')), 1, levenshtein(word, target))")
     far = (F.col("often") >= FAR_RATIO * F.col("n")) & (d <= F.when(F.length("word") >= 7, 3).otherwise(2))
     ends = "flatten(transform(sequence(4, length(word) - 3), i -> array(substring(word, 1, i), substring(word, -i))))"
@@ -279,40 +332,55 @@ def _key(words: str) -> Column:
     return F.unhex(F.md5(F.concat_ws("\x01", F.array_join("company", " "), "rank", F.array_join(words, " "))))
 
 
-def _nodes(rows: DataFrame) -> DataFrame:
-    """id, key, target, rep, company, rank, words, rare: every wording once, and every representative, also one that nobody typed.
+def _nodes(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """id, key, target, rep, company, rank, words, read, rare: every wording once, and every representative, also one that nobody typed.
 
-    ``target`` is the key of the representative that a wording is read as; representatives are their own. ``rare``
-    are a representative's doubtful words."""
+    ``target`` is the key of the representative that a wording is read as, and ``read`` are its words; representatives
+    are their own and have no ``read``. ``rare`` are a representative's doubtful words."""
     none = F.array().cast("array<string>")
-    typed, read = (F.struct(F.col(k).alias("key"), F.col("class_key").alias("target"), F.col(w).alias("words"), d.alias("doubt")) for k, w, d in (("raw_key", "raw", none), ("class_key", "words", F.col("doubt"))))
+    typed, read = (F.struct(F.col(k).alias("key"), F.col("class_key").alias("target"), F.col(w).alias("words"), r.alias("read"), d.alias("doubt")) for k, w, r, d in (("raw_key", "raw", F.col("words"), none), ("class_key", "words", none, F.col("doubt"))))
     # a wording that is read as itself is its representative
     both = F.when(F.col("raw_key") == F.col("class_key"), F.array(read)).otherwise(F.array(typed, read))
     each = rows.select("company", "rank", F.explode(both).alias("n")).select("company", "rank", "n.*")
-    nodes = each.groupBy("key").agg(F.max(F.struct(F.col("key") == F.col("target"), "target", "words", "doubt")).alias("n"), F.first("company").alias("company"), F.first("rank").alias("rank"))
-    nodes = cut_lineage(nodes.select(F.monotonically_increasing_id().alias("id"), "key", "n.target", F.expr("key = n.target").alias("rep"), "company", "rank", "n.words", "n.doubt"))
+    nodes = each.groupBy("key").agg(F.max(F.struct(F.col("key") == F.col("target"), "target", "words", "read", "doubt")).alias("n"), F.first("company").alias("company"), F.first("rank").alias("rank"))
+    return scratch.keep(nodes.select(F.monotonically_increasing_id().alias("id"), "key", "n.target", F.expr("key = n.target").alias("rep"), "company", "rank", "n.words", "n.read", "n.doubt"))
+
+
+def _with_rare(nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``nodes`` with ``rare`` in place of ``doubt``: a representative's words that are doubtful by themselves or among all."""
     words = nodes.filter("rep").select("id", F.explode("words").alias("word"))
-    seen = doubtful(cut_lineage(words.groupBy("word").agg(F.count("*").alias("n"))))
+    counted = scratch.keep(words.groupBy("word").agg(F.count("*").alias("n")))
+    seen = scratch.keep(doubtful(counted))
     rare = words.join(seen, "word").groupBy("id").agg(F.collect_set("word").alias("more"))
-    return nodes.join(rare, "id", "left").withColumn("rare", F.array_union("doubt", F.coalesce("more", none))).drop("doubt", "more")
+    out = scratch.keep(nodes.join(rare, "id", "left").withColumn("rare", F.array_union("doubt", F.coalesce("more", F.array().cast("array<string>")))).drop("doubt", "more"))
+    scratch.drop(nodes, counted, seen)
+    return out
 
 
 def openings(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (posting_id, class_id, town) and links (a, b; a < b) between the classes that are the same opening.
 
     Both together are the whole result: two postings advertise the same opening if they are of one class or of
-    linked classes, and their towns do not differ (``TOWNS``)."""
-    ship_package(postings.sparkSession)
-    typed = cut_lineage(typed_words(postings.select("posting_id", "title", "company", "location_raw")))
-    rows = cut_lineage(canonical(typed).withColumns({"raw_key": _key("raw"), "class_key": _key("words")}))
-    nodes = cut_lineage(_nodes(rows))
-    same = cut_lineage(verified(candidates(nodes), nodes))
-    keys = lambda x: x.join(nodes.select(F.col("id").alias("x"), F.col("key").alias("kx")), "x").join(nodes.select(F.col("id").alias("y"), F.col("key").alias("ky")), "y")
-    joined = keys(same.filter("member")).select(F.col("kx").alias("raw_key"), F.col("ky").alias("found"))
-    # wordings that did not reach their representative are classes of their own
-    members = rows.join(joined, "raw_key", "left").select("posting_id", F.hex(F.coalesce("found", "raw_key")).alias("class_id"), "town").distinct()
-    links = keys(same.filter("NOT member")).select(F.hex(F.least("kx", "ky")).alias("a"), F.hex(F.greatest("kx", "ky")).alias("b"))
-    return cut_lineage(members), cut_lineage(links.distinct())
+    linked classes, and their towns do not differ (``TOWNS``). Each step's table is dropped after its last use."""
+    spark = postings.sparkSession
+    ship_package(spark)
+    with Scratch(spark) as scratch:
+        typed = scratch.keep(typed_words(postings.select("posting_id", "title", "company", "location_raw")))
+        fixed = scratch.keep(corrections(typed, scratch.keep))
+        rows = scratch.keep(canonical(typed, fixed).withColumns({"raw_key": _key("raw"), "class_key": _key("words")}))
+        scratch.drop(typed, fixed)
+        nodes = _nodes(rows, scratch)
+        places = scratch.keep(rows.select("posting_id", "raw_key", "town"))
+        scratch.drop(rows)
+        nodes = _with_rare(nodes, scratch)
+        joined = scratch.keep(nodes.join(reached(nodes), "id").select(F.col("key").alias("raw_key"), F.col("target").alias("found")))
+        same = scratch.keep(verified(candidates(nodes, scratch), nodes.filter("rep")))
+        # wordings that did not reach their representative are classes of their own
+        members = places.join(joined, "raw_key", "left").select("posting_id", F.hex(F.coalesce("found", "raw_key")).alias("class_id"), "town").distinct()
+        ends = same.join(nodes.select(F.col("id").alias("x"), F.col("key").alias("kx")), "x").join(nodes.select(F.col("id").alias("y"), F.col("key").alias("ky")), "y")
+        links = ends.select(F.hex(F.least("kx", "ky")).alias("a"), F.hex(F.greatest("kx", "ky")).alias("b")).distinct()
+        with shuffles_dropped(spark):
+            return cut_lineage(members.select("*")), cut_lineage(links.select("*"))
 
 
 #: SQL: whether two towns may be one; none, where it is not told, counts neither for nor against.

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,20 +58,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """``df`` written to the reliable checkpoint folder and read again.
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The application's folder below the session's ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``, which all executors share. Where the session names
-    none, a temporary one is set in local mode (tests on one machine); on a cluster that is an error."""
-    sc = df.sparkSession.sparkContext
+    Where the session names none, a temporary one is set in local mode (tests on one machine); on a cluster that is an error."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
         if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="vacantia-"))
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """``df`` written to the reliable checkpoint folder and read again."""
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Of queries planned and run inside, the shuffle files are deleted as each ends, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+class Scratch:
+    """Intermediate tables as compressed files in the checkpoint folder; leaving the block deletes those that ``drop`` has not.
+
+    ``keep`` cuts the lineage as ``cut_lineage`` does, which writes rows uncompressed and frees nothing before the
+    driver collects garbage. What is returned from the block must not read them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._kept = spark, {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.drop(*[df for df, _ in self._kept.values()])
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """``df`` written and read again; its shuffle files are deleted."""
+        path = f"{_checkpoint_dir(self._spark)}/{uuid.uuid4().hex}"
+        with shuffles_dropped(self._spark):
+            df.select("*").write.option("compression", "zstd").parquet(path)
+        back = self._spark.read.schema(df.schema).parquet(path)
+        self._kept[id(back)] = back, path
+        return back
+
+    def drop(self, *dfs: DataFrame) -> None:
+        """Deletes the files of what ``keep`` gave."""
+        sc = self._spark.sparkContext
+        for df in dfs:
+            path = sc._jvm.org.apache.hadoop.fs.Path(self._kept.pop(id(df))[1])
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut_partitioned(df: DataFrame, key: str) -> DataFrame:
     """``df`` cut from its lineage, partitioned by and sorted within partitions by ``key``.
 
